@@ -1,0 +1,26 @@
+"""Broadcast with a checked size.
+
+The candidate side is materialised once as a reliable checkpoint in the
+shared checkpoint folder (which also cuts its lineage and survives executor
+loss), its row count is read from the checkpoint, and only when it is within
+``max_rows`` is it hinted for broadcast.  Beyond the bound the plan is left to
+the planner: a shuffle join, with AQE's skew handling.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cadence.session import checkpoint_dir
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                      materialize: bool = True) -> DataFrame:
+    if materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
