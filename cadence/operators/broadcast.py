@@ -1,14 +1,21 @@
 """Broadcast with a checked size.
 
-The candidate side is materialised once as a reliable checkpoint in the
-shared checkpoint folder (which also cuts its lineage and survives executor
-loss), its row count is read from the checkpoint, and only when it is within
-``max_rows`` is it hinted for broadcast.  Beyond the bound the plan is left to
-the planner: a shuffle join, with AQE's skew handling.
+Two ways are used in the engine:
+
+* the default is to leave a join un-hinted and let AQE decide at run time:
+  it converts a sort-merge join into a broadcast join only when the measured
+  map output of a side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+  and keeps the shuffle join otherwise -- a size check on real data;
+* ``bounded_broadcast`` makes the check explicit: the side is persisted
+  (memory and disk; lost blocks are recomputed from lineage), counted in the
+  same job, and hinted only when within ``max_rows``.  With ``checkpoint`` it
+  is written as a reliable checkpoint in the shared checkpoint folder
+  instead, which also cuts its lineage.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +25,11 @@ DEFAULT_MAX_ROWS = 2_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                      materialize: bool = True) -> DataFrame:
-    if materialize:
+                      checkpoint: bool = False) -> DataFrame:
+    if checkpoint:
         checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
+    else:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df

@@ -13,7 +13,8 @@ def long_to_wide(df: DataFrame, index: Sequence[str] | str, names: str, value: s
     """One row per ``index`` with one column per listed name (NULL where the
     name has no row).  The name list is explicit, so no job runs to find it."""
     index = [index] if isinstance(index, str) else list(index)
-    wide = df.groupBy(*index).pivot(names, list(columns)).agg(F.max(value))
-    for old, new in (rename or {}).items():
-        wide = wide.withColumnRenamed(old, new)
-    return wide
+    rename = rename or {}
+    # conditional aggregation: one aggregate stage (pivot() plans two)
+    return df.groupBy(*index).agg(*[
+        F.max(F.when(F.col(names) == F.lit(n), F.col(value))).alias(rename.get(n, n))
+        for n in columns])

@@ -82,10 +82,17 @@ def macro_by_day(days: DataFrame, macro: DataFrame, indicators=None,
 
 def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
                 mode: str = "reference", created_at=None,
-                broadcast_max_rows: int = DEFAULT_MAX_ROWS,
-                materialize_macro: bool = True) -> DataFrame:
+                broadcast: str = "adaptive",
+                broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """The daily fact table (stored column types, ``created_at`` one
-    timestamp for the whole batch)."""
+    timestamp for the whole batch).
+
+    ``broadcast``: ``"adaptive"`` leaves the fact/macro join to AQE, which
+    broadcasts the macro-by-day side only when its measured size is under
+    the adaptive threshold (else sort-merge); ``"checked"`` persists and
+    counts that side and hints it when within ``broadcast_max_rows``.  The
+    side has one row per distinct fact day, so it is bounded by the
+    calendar, not by the number of assets or raw points."""
     if mode not in ("reference", "lookback"):
         raise ValueError("mode must be 'reference' or 'lookback'")
     base = market.select(*MARKET_COLS)
@@ -102,7 +109,7 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
 
     days = facts.select("reference_date").distinct()
     by_day = macro_by_day(days, macro)
-    if materialize_macro:
+    if broadcast == "checked":
         by_day = bounded_broadcast(by_day, broadcast_max_rows)
     joined = facts.join(by_day, "reference_date", "left")
 

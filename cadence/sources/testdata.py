@@ -69,11 +69,44 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def macro_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``macro`` as the landed long rows: text day ``DD/MM/YYYY`` and a
-    double value, before any transformation."""
+    double value, before any transformation; the exchange rate of every
+    10th day of a month arrives without a value."""
     m = macro(spark, sf_dir)
+    missing = (F.col("indicator") == "dolar") & (F.dayofmonth("reference_date") == 10)
     return m.select("indicator",
                     F.date_format("reference_date", "dd/MM/yyyy").alias("reference_date"),
-                    F.col("valor").cast("double").alias("valor"))
+                    F.when(~missing, F.col("valor").cast("double")).alias("valor"))
+
+
+def macro_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``macro`` with defects: NULL exchange rate on day 10, policy rate
+    x 10000 (out of range) on day 20, inflation rows delivered twice."""
+    m = macro(spark, sf_dir)
+    dom = F.dayofmonth("reference_date")
+    ind = F.col("indicator")
+    m = m.withColumn("valor", F.when((ind == "dolar") & (dom == 10), F.lit(None))
+                     .when((ind == "selic") & (dom == 20),
+                           F.col("valor") * F.lit(10000))
+                     .otherwise(F.col("valor")).cast("decimal(15,8)"))
+    return m.unionByName(m.where(ind == "ipca"))
+
+
+def macro_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return macro(spark, sf_dir).where(F.col("reference_date") < F.lit(TARGET_BEFORE).cast("date"))
+
+
+def macro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro rows from 1999 on, valor + 0.01 (``batch_seq`` 1), and a later
+    correction of every 15th day, valor + 0.02 (``batch_seq`` 2)."""
+    m = macro(spark, sf_dir).where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
+    first = m.select("indicator", "reference_date",
+                     (F.col("valor") + F.lit(0.01).cast("decimal(3,2)")).cast("decimal(15,8)")
+                     .alias("valor"), F.lit(1).alias("batch_seq"))
+    fix = m.where(F.dayofmonth("reference_date") == 15).select(
+        "indicator", "reference_date",
+        (F.col("valor") + F.lit(0.02).cast("decimal(3,2)")).cast("decimal(15,8)").alias("valor"),
+        F.lit(2).alias("batch_seq"))
+    return first.unionByName(fix)
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,9 +119,17 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market rows from 1999 on re-priced x 1.01 (``batch_seq`` 1) and a
+    later correction of every 15th day, x 1.02 (``batch_seq`` 2)."""
     m = market(spark, sf_dir).where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
-    return m.withColumn("price_usd", F.round(F.col("price_usd") * F.lit(BATCH_PRICE_FACTOR)
-                                             .cast("decimal(4,2)"), 8).cast("decimal(20,8)"))
+
+    def priced(factor: str, seq: int, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("price_usd", F.round(
+            F.col("price_usd") * F.lit(factor).cast("decimal(4,2)"), 8).cast("decimal(20,8)")) \
+            .withColumn("batch_seq", F.lit(seq))
+
+    return priced(BATCH_PRICE_FACTOR, 1, m).unionByName(
+        priced("1.02", 2, m.where(F.dayofmonth("reference_date") == 15)))
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
