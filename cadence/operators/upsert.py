@@ -20,7 +20,7 @@ repeated load gives the same table (the merge is idempotent).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -96,9 +96,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  schema: T.StructType, date_col: str = "reference_date",
-                 batch_order: Sequence[str] | None = None) -> int:
+                 batch_order: Sequence[str] | None = None,
+                 check: Callable[[DataFrame], object] | None = None) -> int:
     """Merge ``batch`` into the Parquet table at ``path`` (created when
     missing), rewriting only the month partitions the batch touches.
+
+    ``check`` runs on the staged merged partitions before they are
+    published; raising there leaves the table untouched.  Since a key lives
+    in one month partition, checking the touched partitions checks the whole
+    new table given the untouched ones were valid.
     Returns the number of batch rows (as the original loader did)."""
     month = F.date_format(F.col(date_col), "yyyy-MM")
     columns = [f.name for f in schema.fields]
@@ -119,6 +125,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
     staged = spark.read.schema(T.StructType(schema.fields + [
         T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
+    if check is not None:
+        check(staged.drop(PARTITION_COL))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
