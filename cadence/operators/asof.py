@@ -13,10 +13,11 @@ Plan (no pairs are emitted, no group is unbounded):
 2. Inside each ``(by, bucket)`` partition a running ``last(right, ignorenulls)``
    ordered by ``(on, side)`` finds the latest right row at or before each left
    row; right rows sort before left rows on equal ``on`` (inclusive ``<=``).
-3. A bucket-level table -- one row per ``(by, bucket)``, built with partial
-   aggregation -- gives the carry-in (last right row of all earlier buckets)
-   and the earliest right row of the key.  It is joined back on
-   ``(by, bucket)``, the partitioning the window already produced.
+3. A bucket-level table -- one row per ``(by, bucket)``, one aggregate over
+   the same union (its exchange is shared with the window) -- gives the
+   carry-in (last right row of all earlier buckets) and the earliest right
+   row of the key.  It is joined back on ``(by, bucket)``; it has one row
+   per key and bucket, so AQE broadcasts it when its measured size is small.
 
 Window partitions are bounded by the bucket width rather than by the size of
 a key, so a key holding a third of all rows is spread over its buckets.
@@ -90,12 +91,13 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
              .where(F.col("_asof_side") == 1)
              .select(*keys, "_asof_l", "_asof_in"))
 
-    # 3. bucket-level carry-in and earliest value per key
-    summary = (r_side.groupBy(*keys)
-               .agg(F.max_by("_asof_r", "_asof_t").alias("_asof_last"),
-                    F.min_by("_asof_r", "_asof_t").alias("_asof_first")))
-    left_buckets = l_side.select(*keys).distinct()
-    grid = left_buckets.join(summary, keys, "full_outer")
+    # 3. bucket-level carry-in and earliest value per key: one aggregate over
+    #    the same union (same hash partitioning as the window, so the
+    #    exchange is shared); left-only buckets get NULL summaries
+    is_right = F.col("_asof_r").isNotNull()
+    grid = union.groupBy(*keys).agg(
+        F.max_by("_asof_r", F.when(is_right, F.col("_asof_t"))).alias("_asof_last"),
+        F.min_by("_asof_r", F.when(is_right, F.col("_asof_t"))).alias("_asof_first"))
     w_b = Window.partitionBy(*by).orderBy("_asof_b") if by else Window.orderBy("_asof_b")
     carry = grid.select(
         *keys,

@@ -119,7 +119,17 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         current = current.join(touched, PARTITION_COL, "left_semi").drop(PARTITION_COL)
         merged = upsert(current, staged_batch, keys, batch_order, columns)
     else:
-        merged = upsert(None, staged_batch, keys, batch_order, columns)
+        # new table: nothing is read from ``path``, so no staging is needed
+        merged = upsert(None, staged_batch, keys, batch_order, columns) \
+            .withColumn(PARTITION_COL, month)
+        if check is not None:
+            stage = scratch_path(spark, "upsert")
+            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
+            merged = spark.read.schema(T.StructType(schema.fields + [
+                T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
+            check(merged.drop(PARTITION_COL))
+        merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
+        return int(seen.get["rows"])
     merged = merged.withColumn(PARTITION_COL, month)
     stage = scratch_path(spark, "upsert")
     merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)

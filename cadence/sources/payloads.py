@@ -48,19 +48,24 @@ def read_macro_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- market
+_POINT = "struct<kind:int,pos:int,ms:double,value:double>"
+
+
 def market_points(df: DataFrame, payload: str = "payload", coin: str = "coin_id") -> DataFrame:
     """Rows ``(coin, payload text)`` -> one row per array element:
-    ``(coin_id, kind, ms, pos, value)``; empty or missing arrays give none."""
+    ``(coin_id, kind, ms, pos, value)``; empty or missing arrays give none.
+    The document is parsed once and the three arrays are tagged and
+    concatenated before a single explode."""
     parsed = df.select(F.col(coin).alias("coin_id"),
                        F.from_json(F.col(payload), MARKET_PAYLOAD).alias("m"))
-    parts = []
-    for kind, (field, _) in enumerate(MARKET_ARRAYS):
-        parts.append(parsed.select(
-            "coin_id", F.lit(kind).alias("kind"),
-            F.posexplode(F.col(f"m.{field}")).alias("pos", "pt")))
-    pts = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return pts.select("coin_id", "kind", F.col("pt")[0].alias("ms"), "pos",
-                      F.col("pt")[1].alias("value"))
+
+    def tagged(kind: int, field: str) -> Column:
+        arr = F.transform(F.col(f"m.{field}"), lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), x[0].alias("ms"), x[1].alias("value")))
+        return F.coalesce(arr, F.array().cast(f"array<{_POINT}>"))
+
+    points = F.concat(*[tagged(k, field) for k, (field, _) in enumerate(MARKET_ARRAYS)])
+    return parsed.select("coin_id", F.inline(points))
 
 
 def daily_market(points: DataFrame) -> DataFrame:
