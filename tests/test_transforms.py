@@ -104,6 +104,15 @@ def test_market_order_of_input_does_not_matter(spark):
     assert a == b
 
 
+def test_market_sorted_by_asset_and_day(spark):
+    df = market_rows(spark, {"ethereum": [2500, 2510, 2490], "bitcoin": [45000, 45500]})
+    rows = df.collect()
+    shuffled = spark.createDataFrame(list(reversed(rows)), df.schema).repartition(3)
+    keys = [(r.coin_id, r.reference_date) for r in
+            transform_market(shuffled, ordered=True).collect()]
+    assert keys == sorted(keys)
+
+
 def test_market_drops_rows_missing_critical_values(spark):
     df = spark.createDataFrame(
         [("bitcoin", dt.datetime(2026, 1, 1), 45000.0, 1.0, 1.0),
