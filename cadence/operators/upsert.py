@@ -4,11 +4,13 @@ Semantics: ``target UNION batch`` reduced to one row per key, where a batch
 row beats the target row and, inside the batch, the later row beats the
 earlier one.  "Later" needs an explicit order since a DataFrame has no row
 order: ``batch_order`` columns (e.g. an ingest sequence), else the arrival
-order given by ``monotonically_increasing_id`` of the batch scan.
+order given by ``monotonically_increasing_id`` of the batch scan.  NULL keys
+compare equal (as grouping does).
 
-The reduction is a ``max_by`` aggregate over ``(is_batch, order...)``: it
-has a map-side partial phase, so a key repeated millions of times in a batch
-is reduced before the shuffle instead of being sorted in one task.
+The batch is reduced with a ``max_by`` aggregate over ``order``: it has a
+map-side partial phase, so a key repeated millions of times in a batch is
+reduced before the shuffle instead of being sorted in one task.  The target
+is only filtered (anti-join on the batch keys), never aggregated.
 
 Writes (``upsert_table``) touch only the month partitions present in the
 batch: the target rows of those months are read (partition pruning), merged
@@ -36,20 +38,25 @@ PARTITION_COL = "ref_month"
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            batch_order: Sequence[str] | None = None,
            columns: Sequence[str] | None = None) -> DataFrame:
-    """Merged rows (``columns`` of the target; default: the batch's)."""
+    """Merged rows (``columns`` of the target; default: the batch's).
+
+    Plan: the batch is reduced to its last row per key (a ``max_by``
+    aggregate with a map-side phase), target rows whose key is in the batch
+    are dropped with a null-safe left-anti join on the key (the key side is
+    broadcast by AQE when small, so the target streams through without
+    being shuffled or sorted), and the two are unioned."""
     keys = list(keys)
     columns = list(columns or [c for c in batch.columns if c not in (batch_order or [])])
     seq = (F.struct(*[F.col(c) for c in batch_order]) if batch_order
            else F.struct(F.monotonically_increasing_id()))
-    b = batch.select(*[F.col(c) for c in columns], F.lit(1).alias("_is_batch"),
-                     seq.alias("_seq"))
+    b = batch.select(*[F.col(c) for c in columns], seq.alias("_seq"))
+    latest = keep_last(b, keys, ["_seq"]).select(*columns)
     if target is None:
-        union = b
-    else:
-        t = target.select(*[F.col(c) for c in columns], F.lit(0).alias("_is_batch"),
-                          F.lit(None).cast(b.schema["_seq"].dataType).alias("_seq"))
-        union = t.unionByName(b)
-    return keep_last(union, keys, ["_is_batch", "_seq"]).select(*columns)
+        return latest
+    bk = latest.select(*[F.col(k).alias(f"_bk_{k}") for k in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"_bk_{k}")) for k in keys]
+    kept = target.select(*columns).join(bk, cond, "left_anti")
+    return kept.unionByName(latest)
 
 
 def market_batch_clean(batch: DataFrame) -> DataFrame:

@@ -115,22 +115,23 @@ def encode_macro_payloads(landed: DataFrame) -> DataFrame:
 
 def encode_market_payloads(ticks: DataFrame, series: str = "series") -> DataFrame:
     """Intra-day points ``(series, ts, event_id, value, user_id)`` -> one
-    payload document per series and hour (a bounded group): prices are the
-    values, caps the values x 1000, volumes the user ids; points are in
-    ``(ms, event_id)`` order."""
+    payload document per series and minute (a group bounded by the point
+    rate; points sharing a millisecond always share a document, so the
+    ``(ms, position)`` order of the parser equals ``(ms, event_id)``):
+    prices are the values, caps the values x 1000, volumes the user ids."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
     item = F.struct(ms.alias("ms"), F.col("event_id").alias("id"),
                     F.col("value").cast("double").alias("v"),
                     (F.col("value") * 1000).cast("double").alias("c"),
                     F.col("user_id").cast("double").alias("u"))
-    docs = ticks.groupBy(F.col(series).alias("coin_id"), hour.alias("hour")).agg(
+    docs = ticks.groupBy(F.col(series).alias("coin_id"), minute.alias("minute")).agg(
         F.array_sort(F.collect_list(item)).alias("items"))
 
     def arr(field: str) -> Column:
         return F.transform("items", lambda x: F.array(x["ms"].cast("double"), x[field]))
 
-    return docs.select("coin_id", "hour", F.to_json(F.struct(
+    return docs.select("coin_id", "minute", F.to_json(F.struct(
         arr("v").alias("prices"), arr("c").alias("market_caps"),
         arr("u").alias("total_volumes"))).alias("payload"))
 
