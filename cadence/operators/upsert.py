@@ -12,8 +12,9 @@ map-side partial phase, so a key repeated millions of times in a batch is
 reduced before the shuffle instead of being sorted in one task.  The target
 is only filtered (anti-join on the batch keys), never aggregated.
 
-Writes (``upsert_table``) touch only the month partitions present in the
-batch: the target rows of those months are read (partition pruning), merged
+Writes (``upsert_table``) are sized with the ``rebalance`` hint (AQE
+coalesces small month partitions and splits a skewed one) and touch only the
+month partitions present in the batch: the target rows of those months are read (partition pruning), merged
 with the batch, staged as a written table under the shared checkpoint folder
 (cutting lineage; Spark cannot overwrite a path it is reading) and then
 swapped in with dynamic partition overwrite.  Re-running a failed or
@@ -128,7 +129,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     else:
         # new table: nothing is read from ``path``, so no staging is needed
         merged = upsert(None, staged_batch, keys, batch_order, columns) \
-            .withColumn(PARTITION_COL, month)
+            .withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
         if check is not None:
             stage = scratch_path(spark, "upsert")
             merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
@@ -137,7 +138,9 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
             check(merged.drop(PARTITION_COL))
         merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
         return int(seen.get["rows"])
-    merged = merged.withColumn(PARTITION_COL, month)
+    # rebalance: AQE sizes the write tasks by month -- small months are
+    # coalesced into few files, a hot month is split over several tasks
+    merged = merged.withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
     stage = scratch_path(spark, "upsert")
     merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
     staged = spark.read.schema(T.StructType(schema.fields + [
