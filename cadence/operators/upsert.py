@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,12 +87,13 @@ def conform(df: DataFrame, schema: T.StructType, stamp_col: str | None = None,
     return df.select(*cols)
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")) or \
-        (fs.exists(jpath) and len(fs.listStatus(jpath)) > 0)
+def _table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """True when ``path`` holds a readable table (metadata only, no job)."""
+    try:
+        spark.read.schema(schema).parquet(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -120,7 +122,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     seen = Observation("upsert_batch")
     staged_batch = batch.select(*columns, *(batch_order or [])).observe(
         seen, F.count(F.lit(1)).alias("rows"))
-    if _table_exists(spark, path):
+    if _table_exists(spark, path, schema):
         touched = staged_batch.select(month.alias(PARTITION_COL)).distinct()
         current = spark.read.schema(T.StructType(schema.fields + [
             T.StructField(PARTITION_COL, T.StringType())])).parquet(path)

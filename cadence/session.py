@@ -49,25 +49,34 @@ def build_session(master: str | None = None, app_name: str = "cadence",
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL defaults to an existing session and make sure a
-    checkpoint directory is known to the SparkContext."""
+    checkpoint directory is known."""
     for key, value in SESSION_DEFAULTS.items():
         try:
             spark.conf.set(key, value)
         except Exception:  # static / locked confs on a shared session
             pass
-    checkpoint_dir(spark)
+    try:
+        checkpoint_dir(spark)
+    except Exception:  # no local SparkContext (e.g. a remote session)
+        pass
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``
-    when set; otherwise (tests, laptops) a fresh local folder."""
-    sc = spark.sparkContext
+    (or the directory already set on the SparkContext); only when neither is
+    set (tests, laptops) a fresh local folder is created."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint folder
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the remote session")
+        return configured
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(configured)

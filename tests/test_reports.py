@@ -89,3 +89,29 @@ def test_parametrised_query_and_scalar(spark, facts):
                             "WHERE coin_id = :coin_id", {"coin_id": "ethereum"})
     assert R.scalar(df) == pytest.approx(50.5)
     assert R.scalar(facts.where(F.lit(False))) is None
+
+
+def test_count_report_csv_and_missing_table(spark, facts, tmp_dir):
+    import os
+    from cadence.sources.tables import count_report, write_count_report_csv
+    rep = count_report({"daily_consolidated": facts, "crypto_market": None})
+    got = {r.table_name: r.row_count for r in rep.collect()}
+    assert got == {"daily_consolidated": 5, "crypto_market": 0}
+    out = os.path.join(tmp_dir, "counts")
+    write_count_report_csv(rep, out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out))
+                   if f.endswith(".csv"))
+    assert text.splitlines()[0] == "Tabela,Quantidade de Registros,Data da Captura"
+    assert "daily_consolidated,5," in text
+
+
+def test_run_log_json_lines(spark):
+    import datetime as _dt
+    import json
+    from cadence.sources.tables import run_log_entry, run_log_json
+    log = run_log_entry(spark, "dag", "task", "bcb", "failed", 0, "boom",
+                        _dt.datetime(2026, 1, 1), _dt.datetime(2026, 1, 1, 0, 0, 1))
+    line = json.loads(run_log_json(log).first().line)
+    assert line == {"timestamp": "2026-01-01T00:00:01.000000", "level": "ERROR",
+                    "logger": "cadence.jobs", "message": "dag/task - failed (0 rows)",
+                    "exception": "boom"}
