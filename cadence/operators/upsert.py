@@ -88,7 +88,15 @@ def conform(df: DataFrame, schema: T.StructType, stamp_col: str | None = None,
 
 
 def _table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """True when ``path`` holds a readable table (metadata only, no job)."""
+    """True when ``path`` holds a table (metadata only, no job): a Hadoop
+    FileSystem lookup when the JVM is reachable, else a read probe."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(jpath))
+    except Exception:  # remote session
+        pass
     try:
         spark.read.schema(schema).parquet(path)
         return True
