@@ -72,18 +72,24 @@ def market_batch_clean(batch: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType, stamp_col: str | None = None,
-            stamp=None) -> DataFrame:
+            stamp=None, table: str = "table") -> DataFrame:
     """Select/cast to the stored schema (store-time rounding to the decimal
-    scale, half away from zero); fill the load timestamp."""
+    scale, half away from zero; overflow raises under ANSI); fill the load
+    timestamp; enforce the NOT NULL columns of the schema -- a NULL fails the
+    write job with ``raise_error`` (per-row, inside codegen), so nothing of
+    the batch is committed, as a rejected insert."""
     cols = []
     for f in schema.fields:
         if f.name == stamp_col:
             val = (F.localtimestamp() if stamp is None else F.lit(stamp).cast("timestamp_ntz"))
-            cols.append(val.alias(f.name))
         elif isinstance(f.dataType, T.DecimalType):
-            cols.append(F.round(F.col(f.name), f.dataType.scale).cast(f.dataType).alias(f.name))
+            val = F.round(F.col(f.name), f.dataType.scale).cast(f.dataType)
         else:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            val = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            val = F.when(val.isNull(), F.raise_error(F.lit(
+                f"{table}: NOT NULL violated for column {f.name}"))).otherwise(val)
+        cols.append(val.alias(f.name))
     return df.select(*cols)
 
 

@@ -62,7 +62,7 @@ def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
         batch = transform_macro(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             validate(batch, "bcb_indicators")
-            rows = conform(batch, MACRO, stamp_col="ingested_at")
+            rows = conform(batch, MACRO, stamp_col="ingested_at", table="bcb_indicators")
             return upsert_table(spark, paths.macro, rows, KEYS["bcb_indicators"], MACRO)
         finally:
             batch.unpersist()
@@ -78,7 +78,8 @@ def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
         batch = transform_market(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             validate(batch, "crypto_market")
-            rows = conform(market_batch_clean(batch), MARKET, stamp_col="ingested_at")
+            rows = conform(market_batch_clean(batch), MARKET, stamp_col="ingested_at",
+                           table="crypto_market")
             return upsert_table(spark, paths.market, rows, KEYS["crypto_market"], MARKET)
         finally:
             batch.unpersist()

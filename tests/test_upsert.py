@@ -84,3 +84,16 @@ def test_failed_check_leaves_table_untouched(spark, tmp_dir):
         upsert_table(spark, path, bad, keys, MACRO,
                      check=lambda staged: validate(staged, "bcb_indicators"))
     assert rows_of(read_table(spark, path, MACRO)) == [("dolar", D(2026, 1, 5), Dec("5.0"))]
+
+
+def test_not_null_columns_are_enforced_at_store_time(spark, tmp_dir):
+    from cadence.operators.upsert import conform
+    path = os.path.join(tmp_dir, "macro")
+    bad = conform(spark.createDataFrame([(None, D(2026, 1, 5), Dec("5.0"))], SCHEMA), MACRO,
+                  stamp_col="ingested_at", table="bcb_indicators")
+    with pytest.raises(Exception) as e:
+        upsert_table(spark, path, bad, ["indicator", "reference_date"], MACRO)
+    assert "NOT NULL violated for column indicator" in str(e.value)
+    ok = conform(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.123456789"))], SCHEMA),
+                 MACRO, stamp_col="ingested_at")
+    assert ok.first().valor == Dec("5.12345679")
