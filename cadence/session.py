@@ -28,10 +28,34 @@ SESSION_DEFAULTS = {
 }
 
 
+def sizing(input_bytes: int, total_cores: int, *, shuffle_target: int = 128 << 20,
+           scan_split: int = 256 << 20, max_partitions: int = 65536) -> dict:
+    """Partition sizing for a given input volume.
+
+    Scan splits of ``scan_split`` bytes; an initial shuffle partition count
+    of ``input / shuffle_target`` (at least 2 x cores) so that no shuffle
+    partition is larger than executors can sort in memory even before AQE
+    acts; AQE then coalesces small partitions towards the advisory size and
+    splits skewed ones; partitions are coalesced at run time after the early
+    aggregations have reduced the data.  The count is capped at ``max_partitions`` (map
+    status tracking on the driver grows with it); a shuffle carrying the full
+    100 TB would still get ~1.6 GB partitions, which sort with spill."""
+    initial = min(max_partitions,
+                  max(2 * total_cores, -(-int(input_bytes) // shuffle_target)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "cadence",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine defaults."""
+    """Create (or reuse) a session with the engine defaults; ``extra`` may
+    carry :func:`sizing` for the volume at hand."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
