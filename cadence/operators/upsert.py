@@ -26,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,12 +110,28 @@ def _table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
         return False
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               keep_partition: bool = False) -> DataFrame:
+    """Scan a stored table with its explicit schema.  ``keep_partition``
+    keeps the ``ref_month`` directory column so that date slices can prune
+    whole partitions (see :func:`since`)."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + [
             T.StructField(PARTITION_COL, T.StringType())]))
-    return reader.parquet(path).drop(PARTITION_COL)
+    df = reader.parquet(path)
+    return df if keep_partition else df.drop(PARTITION_COL)
+
+
+def since(df: DataFrame, day, date_col: str = "reference_date") -> DataFrame:
+    """Rows on or after ``day``; when the month partition column is present
+    the matching ``ref_month >= 'YYYY-MM'`` predicate is added, which prunes
+    partition directories (the date predicate alone cannot)."""
+    lit_day = F.lit(str(day)).cast("date") if not isinstance(day, Column) else day
+    out = df.where(F.col(date_col) >= lit_day)
+    if PARTITION_COL in df.columns:
+        out = out.where(F.col(PARTITION_COL) >= F.date_format(lit_day, "yyyy-MM"))
+    return out
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],

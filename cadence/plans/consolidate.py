@@ -30,6 +30,7 @@ from cadence.functions.numeric import annualize_rate, store_cast
 from cadence.operators.asof import asof_join
 from cadence.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from cadence.operators.reshape import long_to_wide
+from cadence.operators.upsert import since
 from cadence.operators.windows import pct_change, rolling_stddev, series_window
 from cadence.schemas import CONSOLIDATED, INDICATORS, VOLATILITY_ROWS
 
@@ -55,9 +56,12 @@ def market_metrics(market: DataFrame) -> DataFrame:
 def lookback_start(market: DataFrame, start_date, rows: int = VOLATILITY_ROWS) -> Column:
     """Earliest day among the last ``rows`` rows of every asset before
     ``start_date`` -- reading from there gives every window its full frame.
-    Returns a literal (one scalar reaches the driver)."""
-    prior = market.select("coin_id", "reference_date").where(
-        F.col("reference_date") < _date(start_date))
+    Returns a literal (one scalar reaches the driver); with a month
+    partition column, only the partitions before the slice are listed."""
+    prior = market.where(F.col("reference_date") < _date(start_date))
+    if "ref_month" in market.columns:
+        prior = prior.where(F.col("ref_month") <= F.lit(str(start_date)[:7]))
+    prior = prior.select("coin_id", "reference_date")
     w = Window.partitionBy("coin_id").orderBy(F.col("reference_date").desc())
     cut = (prior.withColumn("_rn", F.row_number().over(w))
            .where(F.col("_rn") <= rows).agg(F.min("reference_date")).first()[0])
@@ -95,15 +99,15 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
     calendar, not by the number of assets or raw points."""
     if mode not in ("reference", "lookback"):
         raise ValueError("mode must be 'reference' or 'lookback'")
-    base = market.select(*MARKET_COLS)
+    base = market
     if start_date is not None:
         if isinstance(start_date, _dt.datetime):
             start_date = start_date.date()
         if mode == "reference":
-            base = base.where(F.col("reference_date") >= _date(start_date))
+            base = since(base, start_date)
         else:
-            base = base.where(F.col("reference_date") >= lookback_start(base, start_date))
-    facts = market_metrics(base)
+            base = since(base, lookback_start(base, start_date))
+    facts = market_metrics(base.select(*MARKET_COLS))
     if start_date is not None and mode == "lookback":
         facts = facts.where(F.col("reference_date") >= _date(start_date))
 

@@ -101,7 +101,8 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
     notes = {}
 
     def run():
-        market = read_table(spark, paths.market, MARKET)
+        # the month column stays so a date slice prunes partition directories
+        market = read_table(spark, paths.market, MARKET, keep_partition=True)
         macro = read_table(spark, paths.macro, MACRO)
         facts = consolidate(market, macro, start_date, mode=mode)
         check = ((lambda staged: validate(staged, "daily_consolidated"))
