@@ -20,9 +20,12 @@ HISTORY_COLS = ["reference_date", "price_usd", "price_brl", "pct_change_1d", "vo
 
 
 # ------------------------------------------------------------ query helpers
-def run_query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
-    """A parametrised SQL query (named markers such as ``:coin_id``)."""
-    return spark.sql(sql, args=params or None)
+def run_query(spark: SparkSession, sql: str, params: dict | None = None,
+              **frames: DataFrame) -> DataFrame:
+    """A parametrised SQL query: named markers such as ``:coin_id`` bound
+    from ``params``; DataFrames passed as keywords are referenced as
+    ``{name}`` in the text (no temporary view is registered)."""
+    return spark.sql(sql, args=params or None, **frames)
 
 
 def scalar(df: DataFrame):

@@ -384,6 +384,18 @@ def q_asset_history(spark, sf_dir):
     return normalize(R.asset_history(_consolidated(spark, sf_dir), FOCUS_ASSET))
 
 
+@register("history_sql", _BASE + f"""
+ SELECT strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(price_brl AS DOUBLE) AS price_brl, CAST(volatility_7d AS DOUBLE) AS volatility_7d
+ FROM consolidated WHERE coin_id = '{FOCUS_ASSET}'""")
+def q_history_sql(spark, sf_dir):
+    """The history query as parametrised Spark SQL (``:coin_id``)."""
+    return normalize(R.run_query(
+        spark, "SELECT reference_date, price_brl, volatility_7d FROM {cons} "
+               "WHERE coin_id = :coin_id ORDER BY reference_date",
+        {"coin_id": FOCUS_ASSET}, cons=_consolidated(spark, sf_dir)))
+
+
 @register("volatility_series", _BASE + f"""
  SELECT strftime(reference_date, '%Y-%m-%d') AS reference_date,
         CAST(volatility_7d AS DOUBLE) AS volatility_7d
