@@ -37,10 +37,10 @@ def main(argv=None) -> int:
                        f"{t}/daily_consolidated", f"{t}/pipeline_run_log")
     result: dict = {}
     if args.mode in ("macro", "all"):
-        result["bcb"] = jobs.load_macro(spark, read_macro_payloads(spark, args.macro_landing),
+        result["macro"] = jobs.load_macro(spark, read_macro_payloads(spark, args.macro_landing),
                                         paths)
     if args.mode in ("market", "all"):
-        result["crypto"] = jobs.load_market(
+        result["market"] = jobs.load_market(
             spark, read_market_payloads(spark, args.market_landing), paths)
     if args.mode in ("consolidate", "all"):
         result["consolidated"] = jobs.run_consolidation(

@@ -55,7 +55,7 @@ def _logged(spark: SparkSession, paths: Paths, dag_id: str, task_id: str, source
 
 
 def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
-               dag_id: str = "dag_extract_bcb", task_id: str = "extract_bcb") -> int:
+               dag_id: str = "load_macro", task_id: str = "load_macro") -> int:
     """C4: landed long rows ``(indicator, reference_date text, valor)`` ->
     transform -> validate -> keyed merge into the macro table -> run log."""
     def run():
@@ -66,11 +66,11 @@ def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
             return upsert_table(spark, paths.macro, rows, KEYS["bcb_indicators"], MACRO)
         finally:
             batch.unpersist()
-    return _logged(spark, paths, dag_id, task_id, "bcb", run)
+    return _logged(spark, paths, dag_id, task_id, "macro", run)
 
 
 def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
-                dag_id: str = "dag_extract_coingecko", task_id: str = "extract_crypto") -> int:
+                dag_id: str = "load_market", task_id: str = "load_market") -> int:
     """Landed daily market rows -> transform (change and volatility are
     computed for validation but not stored) -> validate -> NaN to NULL ->
     keyed merge into the market table -> run log."""
@@ -83,13 +83,13 @@ def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
             return upsert_table(spark, paths.market, rows, KEYS["crypto_market"], MARKET)
         finally:
             batch.unpersist()
-    return _logged(spark, paths, dag_id, task_id, "coingecko", run)
+    return _logged(spark, paths, dag_id, task_id, "market", run)
 
 
 def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
                       mode: str = "reference", validate_when: str = "before",
-                      strict: bool = False, dag_id: str = "dag_consolidate",
-                      task_id: str = "consolidate_daily_tables") -> int:
+                      strict: bool = False, dag_id: str = "consolidate",
+                      task_id: str = "consolidate") -> int:
     """Consolidate the stored tables and merge the result into the fact
     table.  ``validate_when="before"`` checks the staged merged partitions
     before they are published; ``"after"`` publishes first and then checks
@@ -127,8 +127,8 @@ def run_all(spark: SparkSession, macro_landed: DataFrame, market_landed: DataFra
     """Macro load -> market load -> consolidation; stops at the first
     failure (the exception propagates after its run-log row is written)."""
     results = {}
-    results["bcb"] = load_macro(spark, macro_landed, paths)
-    results["crypto"] = load_market(spark, market_landed, paths)
+    results["macro"] = load_macro(spark, macro_landed, paths)
+    results["market"] = load_market(spark, market_landed, paths)
     results["consolidated"] = run_consolidation(spark, paths, **consolidation)
     log.info("run finished: %s", results)
     return results

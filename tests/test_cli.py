@@ -26,4 +26,4 @@ def test_cli_full_run(tmp_dir):
         cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert json.loads(out.stdout.strip().splitlines()[-1]) == \
-        {"bcb": 3, "crypto": 2, "consolidated": 2}
+        {"macro": 3, "market": 2, "consolidated": 2}

@@ -41,7 +41,7 @@ def landed_market(spark, days=10):
 def test_full_run_and_run_log(spark, tmp_dir):
     p = paths(tmp_dir)
     res = run_all(spark, landed_macro(spark), landed_market(spark), p)
-    assert res == {"bcb": 21, "crypto": 20, "consolidated": 20}
+    assert res == {"macro": 21, "market": 20, "consolidated": 20}
     cons = read_table(spark, p.consolidated, CONSOLIDATED)
     assert cons.where("dolar_brl IS NULL").count() == 0
     first = cons.where("coin_id = 'bitcoin' AND reference_date = DATE'2026-01-01'").first()

@@ -109,7 +109,7 @@ def test_run_log_json_lines(spark):
     import datetime as _dt
     import json
     from cadence.sources.tables import run_log_entry, run_log_json
-    log = run_log_entry(spark, "dag", "task", "bcb", "failed", 0, "boom",
+    log = run_log_entry(spark, "dag", "task", "macro", "failed", 0, "boom",
                         _dt.datetime(2026, 1, 1), _dt.datetime(2026, 1, 1, 0, 0, 1))
     line = json.loads(run_log_json(log).first().line)
     assert line == {"timestamp": "2026-01-01T00:00:01.000000", "level": "ERROR",
