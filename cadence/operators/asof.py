@@ -14,13 +14,16 @@ Plan (no pairs are emitted, no group is unbounded):
    ordered by ``(on, side)`` finds the latest right row at or before each left
    row; right rows sort before left rows on equal ``on`` (inclusive ``<=``).
 3. A bucket-level table -- one row per ``(by, bucket)``, one aggregate over
-   the same union (its exchange is shared with the window) -- gives the
+   the union with a map-side partial phase -- gives the
    carry-in (last right row of all earlier buckets) and the earliest right
    row of the key.  It is joined back on ``(by, bucket)``; it has one row
    per key and bucket, so AQE broadcasts it when its measured size is small.
 
 Window partitions are bounded by the bucket width rather than by the size of
 a key, so a key holding a third of all rows is spread over its buckets.
+Right rows are expected to be unique per ``(by, on)`` (the natural key of a
+stored series, enforced by the duplicate-key rule); ties are otherwise
+resolved arbitrarily.
 """
 
 from __future__ import annotations
@@ -92,8 +95,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
              .select(*keys, "_asof_l", "_asof_in"))
 
     # 3. bucket-level carry-in and earliest value per key: one aggregate over
-    #    the same union (same hash partitioning as the window, so the
-    #    exchange is shared); left-only buckets get NULL summaries
+    #    the union, partially aggregated before its (small) shuffle;
+    #    left-only buckets get NULL summaries
     is_right = F.col("_asof_r").isNotNull()
     grid = union.groupBy(*keys).agg(
         F.max_by("_asof_r", F.when(is_right, F.col("_asof_t"))).alias("_asof_last"),
