@@ -78,9 +78,14 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
     l_side = left.select(*[F.col(k) for k in by], F.col(on).alias("_asof_t"),
                          F.lit(1).alias("_asof_side"),
                          F.struct(*[F.col(c) for c in lcols]).alias("_asof_l"))
-    r_side = right.select(*[F.col(k) for k in by], F.col(right_on).cast(on_type).alias("_asof_t"),
-                          F.lit(0).alias("_asof_side"),
-                          F.struct(*[F.col(v) for v in values]).alias("_asof_r"))
+    # a NULL key never equals anything: such right rows can match no left row
+    r_keep = right
+    for k in by:
+        r_keep = r_keep.where(F.col(k).isNotNull())
+    r_side = r_keep.select(*[F.col(k) for k in by],
+                           F.col(right_on).cast(on_type).alias("_asof_t"),
+                           F.lit(0).alias("_asof_side"),
+                           F.struct(*[F.col(v) for v in values]).alias("_asof_r"))
     bexpr = _bucket_expr(bucket, on_type)
     l_side = l_side.withColumn("_asof_b", bexpr)
     r_side = r_side.withColumn("_asof_b", bexpr)

@@ -90,3 +90,11 @@ def test_numeric_on_with_width_bucket(spark):
     r_df = spark.createDataFrame([("k", 10, 1.0), ("k", 120, 2.0)], "k string, t long, v double")
     got = {r.t: r.v for r in asof_join(l_df, r_df, "t", ["k"], ["v"], bucket=50).collect()}
     assert got == {15: 1.0, 250: 2.0, 5: None}
+
+
+def test_null_keys_never_match(spark):
+    l_df = spark.createDataFrame([(None, D(2020, 1, 5)), ("k", D(2020, 1, 5))], "k string, d date")
+    r_df = spark.createDataFrame([(None, D(2020, 1, 1), 1.0), ("k", D(2020, 1, 2), 2.0)],
+                                 "k string, d date, v double")
+    got = {r.k: r.v for r in asof_join(l_df, r_df, "d", ["k"], ["v"], backfill=True).collect()}
+    assert got == {None: None, "k": 2.0}
