@@ -17,8 +17,10 @@ coalesces small month partitions and splits a skewed one) and touch only the
 month partitions present in the batch: the target rows of those months are read (partition pruning), merged
 with the batch, staged as a written table under the shared checkpoint folder
 (cutting lineage; Spark cannot overwrite a path it is reading) and then
-swapped in with dynamic partition overwrite.  Re-running a failed or
-repeated load gives the same table (the merge is idempotent).
+swapped in with dynamic partition overwrite; the run's staging folder is
+removed after the publish (kept when a check fails, for inspection).
+Re-running a failed or repeated load gives the same table (the merge is
+idempotent).
 """
 
 from __future__ import annotations
@@ -110,6 +112,18 @@ def _table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
         return False
 
 
+def _drop_staging(spark: SparkSession, stage: str) -> None:
+    """Remove this run's own staging folder after a successful publish
+    (through the Hadoop FileSystem of the path; skipped when the JVM is not
+    reachable -- the shared folder's retention then expires it)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(stage)
+        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    except Exception:  # noqa: BLE001
+        pass
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                keep_partition: bool = False) -> DataFrame:
     """Scan a stored table with its explicit schema.  ``keep_partition``
@@ -137,7 +151,8 @@ def since(df: DataFrame, day, date_col: str = "reference_date") -> DataFrame:
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  schema: T.StructType, date_col: str = "reference_date",
                  batch_order: Sequence[str] | None = None,
-                 check: Callable[[DataFrame], object] | None = None) -> int:
+                 check: Callable[[DataFrame], object] | None = None,
+                 keep_staging: bool = False) -> int:
     """Merge ``batch`` into the Parquet table at ``path`` (created when
     missing), rewriting only the month partitions the batch touches.
 
@@ -168,7 +183,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
             merged = spark.read.schema(T.StructType(schema.fields + [
                 T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
             check(merged.drop(PARTITION_COL))
-        merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
+            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
+            if not keep_staging:
+                _drop_staging(spark, stage)
+        else:
+            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
         return int(seen.get["rows"])
     # rebalance: AQE sizes the write tasks by month -- small months are
     # coalesced into few files, a hot month is split over several tasks
@@ -185,4 +204,6 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         staged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if not keep_staging:
+        _drop_staging(spark, stage)
     return int(seen.get["rows"])

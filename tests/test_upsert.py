@@ -97,3 +97,16 @@ def test_not_null_columns_are_enforced_at_store_time(spark, tmp_dir):
     ok = conform(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.123456789"))], SCHEMA),
                  MACRO, stamp_col="ingested_at")
     assert ok.first().valor == Dec("5.12345679")
+
+
+def test_staging_is_removed_after_publish(spark, tmp_dir):
+    from cadence.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), "cadence-staging")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    path = os.path.join(tmp_dir, "macro")
+    keys = ["indicator", "reference_date"]
+    rows = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.0"))], SCHEMA))
+    upsert_table(spark, path, rows, keys, MACRO)
+    upsert_table(spark, path, rows, keys, MACRO)
+    after = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert after <= before
