@@ -49,6 +49,10 @@ def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sdf.columns
     srows = [tuple(r) for r in sdf.collect()]
+    # plan shape: no pairs within groups, no Python evaluation
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
+        assert bad not in plan, bad
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(cols) == sorted(rel.columns)
     order = sorted(cols)

@@ -29,14 +29,6 @@ def test_flagship_plan_shape(spark):
     assert "BroadcastHashJoin" in plan                           # AQE measured and broadcast
 
 
-def test_every_registered_query_avoids_pairs_and_udfs(spark):
-    for name, fn in E.queries().items():
-        plan = executed(fn(spark, SF_SMALL))
-        assert "CartesianProduct" not in plan, name
-        assert "BroadcastNestedLoopJoin" not in plan, name
-        assert "EvalPython" not in plan, name
-
-
 def test_slice_prunes_month_partitions(spark, tmp_dir):
     path = os.path.join(tmp_dir, "market")
     rows = conform(td.market(spark, SF_SMALL), MARKET, stamp_col="ingested_at")
