@@ -26,9 +26,12 @@ def main(argv=None) -> int:
     ap.add_argument("--mode-slice", default="reference", choices=["reference", "lookback"])
     ap.add_argument("--validate", default="before", choices=["before", "after", "report"])
     ap.add_argument("--master", default=None)
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions (default: the cluster's setting)")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master, app_name=f"cadence-{args.mode}")
+    spark = build_session(args.master, app_name=f"cadence-{args.mode}",
+                          shuffle_partitions=args.shuffle_partitions)
     from cadence.plans import jobs
     from cadence.sources.payloads import read_macro_payloads, read_market_payloads
 

@@ -22,7 +22,8 @@ def test_cli_full_run(tmp_dir):
     out = subprocess.run(
         [sys.executable, "-m", "cadence", "all", "--tables", tables,
          "--macro-landing", os.path.join(land, "macro"),
-         "--market-landing", os.path.join(land, "market"), "--master", "local[2]"],
+         "--market-landing", os.path.join(land, "market"), "--master", "local[2]",
+         "--shuffle-partitions", "2"],
         cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert json.loads(out.stdout.strip().splitlines()[-1]) == \
