@@ -160,7 +160,10 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     published; raising there leaves the table untouched.  Since a key lives
     in one month partition, checking the touched partitions checks the whole
     new table given the untouched ones were valid.
-    Returns the number of batch rows (as the original loader did)."""
+    Returns the number of batch rows (as the original loader did), observed
+    during the write; the observation is an accumulator, so a re-executed
+    stage after an executor loss can over-count -- callers that need an exact
+    figure count their (persisted) batch, as the jobs do."""
     month = F.date_format(F.col(date_col), "yyyy-MM")
     columns = [f.name for f in schema.fields]
     # the batch row count is observed during the write job (no second pass)

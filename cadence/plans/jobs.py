@@ -62,8 +62,10 @@ def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
         batch = transform_macro(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             validate(batch, "bcb_indicators")
+            n = batch.count()          # exact even after task retries (cached)
             rows = conform(batch, MACRO, stamp_col="ingested_at", table="bcb_indicators")
-            return upsert_table(spark, paths.macro, rows, KEYS["bcb_indicators"], MACRO)
+            upsert_table(spark, paths.macro, rows, KEYS["bcb_indicators"], MACRO)
+            return n
         finally:
             batch.unpersist()
     return _logged(spark, paths, dag_id, task_id, "macro", run)
@@ -78,9 +80,11 @@ def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
         batch = transform_market(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             validate(batch, "crypto_market")
+            n = batch.count()          # exact even after task retries (cached)
             rows = conform(market_batch_clean(batch), MARKET, stamp_col="ingested_at",
                            table="crypto_market")
-            return upsert_table(spark, paths.market, rows, KEYS["crypto_market"], MARKET)
+            upsert_table(spark, paths.market, rows, KEYS["crypto_market"], MARKET)
+            return n
         finally:
             batch.unpersist()
     return _logged(spark, paths, dag_id, task_id, "market", run)

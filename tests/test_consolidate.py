@@ -115,3 +115,11 @@ def test_zero_previous_price_raises_in_exact_mode(spark):
     m = market_df(spark, {"x": [0, 10]})
     with pytest.raises(Exception):
         market_metrics(m).collect()
+
+
+def test_asset_with_one_row(spark):
+    out = consolidate(market_df(spark, {"solo": [100]}), macro_df(spark, MACRO)).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert r.pct_change_1d is None and r.volatility_7d is None
+    assert r.price_brl == half_up(Dec("100") * Dec("5.12345678"), 8)
