@@ -7,8 +7,11 @@ source's checkpoint records them, so a restarted or retried run neither
 skips nor repeats a file), and ``foreachBatch`` runs the ordinary batch
 path on each micro-batch: parse -> transform -> validate -> keyed merge.
 The merge is idempotent, so a micro-batch replayed after a failure leaves
-the same table.  No watermark is needed: there is no streaming aggregation
-state; ordering across batches is resolved by the merge.
+the same table.  A micro-batch that fails validation stops the query with
+the rule's error (and a failed run-log row); its offsets are not committed,
+so the corrected restart processes the same files again.  No watermark is
+needed: there is no streaming aggregation state; ordering across batches is
+resolved by the merge.
 """
 
 from __future__ import annotations
