@@ -42,3 +42,19 @@ def test_market_stream(spark, tmp_dir):
     start_market_stream(spark, landing, p, os.path.join(tmp_dir, "ck")).awaitTermination(120)
     rows = read_table(spark, p.market, MARKET).collect()
     assert sorted(float(r.price_usd) for r in rows) == [60000.0, 60500.0]
+
+
+def test_failed_batch_is_retried_after_restart(spark, tmp_dir):
+    import pytest
+    landing = os.path.join(tmp_dir, "landing")
+    p = Paths(*(os.path.join(tmp_dir, n) for n in ("macro", "market", "cons", "log")))
+    ck = os.path.join(tmp_dir, "ck")
+    bad = os.path.join(landing, "indicator=dolar")
+    write(bad, "d1.json", [{"data": "01/01/2026", "valor": "50,0"}])      # out of range
+    with pytest.raises(Exception) as e:
+        start_macro_stream(spark, landing, p, ck).awaitTermination(120)
+    assert "bcb_indicators[dolar]" in str(e.value)
+    assert not os.path.exists(p.macro)
+    write(bad, "d1.json", [{"data": "01/01/2026", "valor": "5,0"}])       # corrected in place
+    start_macro_stream(spark, landing, p, ck).awaitTermination(120)
+    assert [float(r.valor) for r in read_table(spark, p.macro, MACRO).collect()] == [5.0]
