@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import os
 
 from cadence.session import build_session
@@ -18,7 +19,9 @@ from cadence.session import build_session
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="cadence")
-    ap.add_argument("mode", choices=["macro", "market", "consolidate", "all", "counts"])
+    ap.add_argument("mode", choices=["macro", "market", "consolidate", "all", "counts",
+                                     "bcb", "crypto"],
+                    help="bcb / crypto are accepted as the macro / market loads")
     ap.add_argument("--tables", required=True, help="folder holding the stored tables")
     ap.add_argument("--macro-landing", help="landed macro payload folder")
     ap.add_argument("--market-landing", help="landed market payload folder")
@@ -28,7 +31,12 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (default: the cluster's setting)")
+    ap.add_argument("--log-level", default="INFO",
+                    choices=["DEBUG", "INFO", "WARNING", "ERROR"])
     args = ap.parse_args(argv)
+    args.mode = {"bcb": "macro", "crypto": "market"}.get(args.mode, args.mode)
+    logging.basicConfig(level=getattr(logging, args.log_level),
+                        format="%(asctime)s - %(name)s - %(levelname)s - %(message)s")
 
     spark = build_session(args.master, app_name=f"cadence-{args.mode}",
                           shuffle_partitions=args.shuffle_partitions)
