@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadence.operators.quality import check_not_empty, evaluate, validate
 from cadence.operators.upsert import conform, market_batch_clean, read_table, upsert_table
@@ -136,10 +135,3 @@ def run_all(spark: SparkSession, macro_landed: DataFrame, market_landed: DataFra
     results["consolidated"] = run_consolidation(spark, paths, **consolidation)
     log.info("run finished: %s", results)
     return results
-
-
-def landed_market_from_payloads(payload_rows: DataFrame) -> DataFrame:
-    """Parsed market payload rows as the market load expects them."""
-    from cadence.sources.payloads import parse_market_payload
-    return parse_market_payload(payload_rows).select(
-        "coin_id", F.col("reference_date"), "price_usd", "market_cap_usd", "volume_24h_usd")

@@ -11,7 +11,6 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cadence.operators.upsert import read_table  # noqa: F401  (S3 scan)
 from cadence.schemas import COUNT_REPORT_HEADER, RUN_LOG
@@ -84,7 +83,3 @@ def run_log_json(run_log: DataFrame, logger_name: str = "cadence.jobs") -> DataF
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(path)
-
-
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.operators.dedup import last_of_day
+
 # Fixed values of the adapters (shared with the SQL oracles).
 MACRO_START = "1995-06-01"
 FLAG_TO_INDICATOR = {"R": "dolar", "A": "selic", "N": "ipca"}
@@ -37,13 +39,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    day = F.to_date("o_orderdate")
-    total = F.col("o_totalprice").cast("decimal(20,2)")
-    return (o.groupBy(F.col("o_orderpriority").alias("coin_id"), day.alias("reference_date"))
-            .agg(F.max_by(total, "o_orderkey").cast("decimal(20,8)").alias("price_usd"),
-                 F.max(total).cast("decimal(30,2)").alias("market_cap_usd"),
-                 F.sum(total).cast("decimal(30,2)").alias("volume_24h_usd")))
+    points = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("coin_id"),
+        F.to_date("o_orderdate").alias("reference_date"), "o_orderkey",
+        F.col("o_totalprice").cast("decimal(20,2)").alias("price_usd"))
+    daily = last_of_day(points, "coin_id", "reference_date", ["o_orderkey"], "price_usd",
+                        extra={"market_cap_usd": F.max("price_usd"),
+                               "volume_24h_usd": F.sum("price_usd")})
+    return daily.select("coin_id", "reference_date",
+                        F.col("price_usd").cast("decimal(20,8)").alias("price_usd"),
+                        F.col("market_cap_usd").cast("decimal(30,2)").alias("market_cap_usd"),
+                        F.col("volume_24h_usd").cast("decimal(30,2)").alias("volume_24h_usd"))
 
 
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 import os
-import time
 
 import pytest
 

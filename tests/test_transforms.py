@@ -1,10 +1,7 @@
 import datetime as dt
-import math
 import statistics
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import Row
 
 from cadence.plans.transforms import transform_macro, transform_market
 
