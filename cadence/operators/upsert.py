@@ -124,6 +124,15 @@ def _drop_staging(spark: SparkSession, stage: str) -> None:
         pass
 
 
+def _observed_rows(seen: Observation, batch: DataFrame) -> int:
+    """Rows observed during the write; an empty batch can be optimised away
+    together with its observation, then the batch is counted directly."""
+    try:
+        return int(seen.get["rows"])
+    except Exception:  # noqa: BLE001
+        return batch.count()
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                keep_partition: bool = False) -> DataFrame:
     """Scan a stored table with its explicit schema.  ``keep_partition``
@@ -191,7 +200,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
                 _drop_staging(spark, stage)
         else:
             merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
-        return int(seen.get["rows"])
+        return _observed_rows(seen, batch)
     # rebalance: AQE sizes the write tasks by month -- small months are
     # coalesced into few files, a hot month is split over several tasks
     merged = merged.withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
@@ -209,4 +218,4 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     if not keep_staging:
         _drop_staging(spark, stage)
-    return int(seen.get["rows"])
+    return _observed_rows(seen, batch)

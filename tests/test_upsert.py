@@ -110,3 +110,13 @@ def test_staging_is_removed_after_publish(spark, tmp_dir):
     upsert_table(spark, path, rows, keys, MACRO)
     after = set(os.listdir(base)) if os.path.isdir(base) else set()
     assert after <= before
+
+
+def test_empty_batch_leaves_table_unchanged(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "macro")
+    keys = ["indicator", "reference_date"]
+    rows = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.0"))], SCHEMA))
+    upsert_table(spark, path, rows, keys, MACRO)
+    empty = _stamp(spark.createDataFrame([], SCHEMA))
+    assert upsert_table(spark, path, empty, keys, MACRO) == 0
+    assert rows_of(read_table(spark, path, MACRO)) == [("dolar", D(2026, 1, 5), Dec("5.0"))]
