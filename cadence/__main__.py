@@ -28,6 +28,8 @@ def main(argv=None) -> int:
     ap.add_argument("--start-date", help="consolidate from this day (YYYY-MM-DD)")
     ap.add_argument("--mode-slice", default="reference", choices=["reference", "lookback"])
     ap.add_argument("--validate", default="before", choices=["before", "after", "report"])
+    ap.add_argument("--series-bucket", default=None, choices=["year", "month"],
+                    help="bucketed per-asset windows for long (intra-day) series")
     ap.add_argument("--master", default=None)
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (default: the cluster's setting)")
@@ -55,7 +57,8 @@ def main(argv=None) -> int:
             spark, read_market_payloads(spark, args.market_landing), paths)
     if args.mode in ("consolidate", "all"):
         result["consolidated"] = jobs.run_consolidation(
-            spark, paths, args.start_date, mode=args.mode_slice, validate_when=args.validate)
+            spark, paths, args.start_date, mode=args.mode_slice, validate_when=args.validate,
+            series_bucket=args.series_bucket)
     if args.mode == "counts":
         from cadence.operators.upsert import read_table
         from cadence.schemas import CONSOLIDATED, MACRO, MARKET

@@ -31,7 +31,8 @@ from cadence.operators.asof import asof_join
 from cadence.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from cadence.operators.reshape import long_to_wide
 from cadence.operators.upsert import since
-from cadence.operators.windows import pct_change, rolling_stddev, series_window
+from cadence.operators.windows import (bucketed_series, pct_change, rolling_stddev,
+                                       series_window)
 from cadence.schemas import CONSOLIDATED, INDICATORS, VOLATILITY_ROWS
 
 MARKET_COLS = ["coin_id", "reference_date", "price_usd", "market_cap_usd", "volume_24h_usd"]
@@ -43,16 +44,34 @@ def _date(value) -> Column:
     return F.lit(str(value)).cast("date")
 
 
-def market_metrics(market: DataFrame) -> DataFrame:
-    """Previous-row percent change (rounded to 4) and the rolling sample
-    deviation of that *rounded* change over 7 rows (rounded to 4)."""
-    w = series_window("coin_id", "reference_date")
-    return (market.select(*MARKET_COLS)
-            .withColumn("pct_change_1d", pct_change("price_usd", w, scale=4, exact=True))
+def _metrics(frame: DataFrame, w) -> DataFrame:
+    return (frame.withColumn("pct_change_1d", pct_change("price_usd", w, scale=4, exact=True))
             .withColumn("volatility_7d", rolling_stddev("pct_change_1d", w,
                                                         rows=VOLATILITY_ROWS, scale=4)))
 
 
+_YEAR_BUCKETS = {"year": F.year, "month": lambda c: F.date_trunc("month", c)}
+
+
+def market_metrics(market: DataFrame, bucket: str | None = None) -> DataFrame:
+    """Previous-row percent change (rounded to 4) and the rolling sample
+    deviation of that *rounded* change over 7 rows (rounded to 4).
+
+    ``bucket=None`` (default): one window partition per asset.  The input
+    has one row per asset and day (the daily reduction and the unique-key
+    rule guarantee it), so a partition holds at most one row per calendar
+    day whatever the data volume -- a hot asset cannot exceed its calendar.
+    ``bucket="year"``/``"month"``: per asset and calendar bucket with a
+    7-row halo from earlier buckets (``bucketed_series``), for series whose
+    length is not bounded that way; exact, at the price of a few more
+    (small) stages."""
+    base = market.select(*MARKET_COLS)
+    if bucket is None:
+        return _metrics(base, series_window("coin_id", "reference_date"))
+    return bucketed_series(base, "coin_id", "reference_date", _metrics,
+                           reach=VOLATILITY_ROWS, bucket=_YEAR_BUCKETS[bucket])
+
+
 def lookback_start(market: DataFrame, start_date, rows: int = VOLATILITY_ROWS) -> Column:
     """Earliest day among the last ``rows`` rows of every asset before
     ``start_date`` -- reading from there gives every window its full frame.
@@ -85,7 +104,7 @@ def macro_by_day(days: DataFrame, macro: DataFrame, indicators=None,
 
 
 def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
-                mode: str = "reference", created_at=None,
+                mode: str = "reference", created_at=None, series_bucket: str | None = None,
                 broadcast: str = "adaptive",
                 broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """The daily fact table (stored column types, ``created_at`` one
@@ -94,7 +113,9 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
     ``broadcast``: ``"adaptive"`` leaves the fact/macro join to AQE, which
     broadcasts the macro-by-day side only when its measured size is under
     the adaptive threshold (else sort-merge); ``"checked"`` persists and
-    counts that side and hints it when within ``broadcast_max_rows``.  The
+    counts that side and hints it when within ``broadcast_max_rows``.
+    ``series_bucket`` selects bucketed per-asset windows (see
+    :func:`market_metrics`).  The
     side has one row per distinct fact day, so it is bounded by the
     calendar, not by the number of assets or raw points."""
     if mode not in ("reference", "lookback"):
@@ -107,7 +128,7 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
             base = since(base, start_date)
         else:
             base = since(base, lookback_start(base, start_date))
-    facts = market_metrics(base.select(*MARKET_COLS))
+    facts = market_metrics(base.select(*MARKET_COLS), series_bucket)
     if start_date is not None and mode == "lookback":
         facts = facts.where(F.col("reference_date") >= _date(start_date))
 

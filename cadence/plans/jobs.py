@@ -91,6 +91,7 @@ def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
 
 def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
                       mode: str = "reference", validate_when: str = "before",
+                      series_bucket: str | None = None,
                       strict: bool = False, dag_id: str = "consolidate",
                       task_id: str = "consolidate") -> int:
     """Consolidate the stored tables and merge the result into the fact
@@ -107,7 +108,7 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
         # the month column stays so a date slice prunes partition directories
         market = read_table(spark, paths.market, MARKET, keep_partition=True)
         macro = read_table(spark, paths.macro, MACRO)
-        facts = consolidate(market, macro, start_date, mode=mode)
+        facts = consolidate(market, macro, start_date, mode=mode, series_bucket=series_bucket)
         check = ((lambda staged: validate(staged, "daily_consolidated"))
                  if validate_when == "before" else None)
         upsert_table(spark, paths.consolidated, facts, KEYS["daily_consolidated"],

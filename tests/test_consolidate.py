@@ -123,3 +123,22 @@ def test_asset_with_one_row(spark):
     r = out[0]
     assert r.pct_change_1d is None and r.volatility_7d is None
     assert r.price_brl == half_up(Dec("100") * Dec("5.12345678"), 8)
+
+
+@pytest.mark.parametrize("bucket", ["year", "month"])
+def test_bucketed_windows_equal_per_asset_windows(spark, bucket):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for coin in ("a", "b", "c"):
+        for d in sorted(rnd.sample(range(0, 1100), rnd.randint(1, 250))):
+            rows.append((coin, D(2019, 12, 20) + dt.timedelta(d), Dec(rnd.randint(100, 999)),
+                         Dec("1.00"), Dec("1.00")))
+    m = spark.createDataFrame(rows, "coin_id string, reference_date date, "
+                                    "price_usd decimal(20,8), market_cap_usd decimal(30,2), "
+                                    "volume_24h_usd decimal(30,2)")
+    a = sorted(map(tuple, consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01")
+                   .collect()))
+    b = sorted(map(tuple, consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01",
+                                      series_bucket=bucket).collect()))
+    assert a == b
