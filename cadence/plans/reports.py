@@ -170,3 +170,29 @@ def computed_counts(consolidated: DataFrame) -> DataFrame:
     return consolidated.agg(F.count("pct_change_1d").alias("n_pct_change"),
                             F.count("volatility_7d").alias("n_volatility"),
                             F.count("selic_annual_rate").alias("n_selic_annual"))
+
+
+# ---------------------------------------------------------------- dashboard
+def dashboard(consolidated: DataFrame, coin_id: str) -> dict[str, DataFrame]:
+    """Every view of the dashboard over one persisted scan of the
+    consolidated table (memory and disk; lost blocks are recomputed): the
+    summary and its display form, KPI panel and display form, asset list,
+    asset history and chart series, price ranking and exchange-rate
+    history.  Call ``unpersist()`` on ``views["table"]`` when done."""
+    from pyspark import StorageLevel
+    table = consolidated.persist(StorageLevel.MEMORY_AND_DISK)
+    summary = asset_summary(table)
+    panel = kpi_panel(table, coin_id)
+    return {
+        "table": table,
+        "summary": summary,
+        "summary_formatted": summary_formatted(summary),
+        "kpi": panel,
+        "kpi_formatted": kpi_panel_formatted(panel),
+        "assets": distinct_assets(table),
+        "history": asset_history(table, coin_id),
+        "price_series": history_series(table, coin_id, "price_brl"),
+        "volatility_series": history_series(table, coin_id, "volatility_7d"),
+        "ranking": price_ranking(table),
+        "fx_history": fx_history(table),
+    }

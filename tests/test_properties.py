@@ -67,3 +67,20 @@ def test_asof_never_looks_ahead(spark, right):
     for r in asof_join(l_df, r_df, "d", [], ["src"], bucket="month").collect():
         if r.src is not None:
             assert r.src <= r.d.toordinal()
+
+
+@settings(**SETTINGS)
+@given(series=st.dictionaries(keys, st.lists(st.integers(0, 800), min_size=1, max_size=40,
+                                             unique=True), min_size=1),
+       bucket=st.sampled_from(["year", "month"]))
+def test_bucketed_series_windows_equal_per_series(spark, series, bucket):
+    import decimal
+    from cadence.plans.consolidate import market_metrics
+    rows = [(k, BASE + dt.timedelta(d), decimal.Decimal(100 + (d * 37) % 900), None, None)
+            for k, days_ in series.items() for d in days_]
+    m = spark.createDataFrame(rows, "coin_id string, reference_date date, "
+                                    "price_usd decimal(20,8), market_cap_usd decimal(30,2), "
+                                    "volume_24h_usd decimal(30,2)")
+    a = sorted(map(tuple, market_metrics(m, None).collect()))
+    b = sorted(map(tuple, market_metrics(m, bucket).collect()))
+    assert a == b

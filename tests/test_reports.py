@@ -115,3 +115,14 @@ def test_run_log_json_lines(spark):
     assert line == {"timestamp": "2026-01-01T00:00:01.000000", "level": "ERROR",
                     "logger": "cadence.jobs", "message": "dag/task - failed (0 rows)",
                     "exception": "boom"}
+
+
+def test_dashboard_views_share_one_table(facts):
+    views = R.dashboard(facts, "bitcoin")
+    try:
+        assert views["kpi"].first().total_rows == 5
+        assert [r.coin_id for r in views["assets"].collect()] == ["bitcoin", "ethereum"]
+        assert views["price_series"].count() == 3
+        assert views["summary_formatted"].count() == 2
+    finally:
+        views["table"].unpersist()
