@@ -9,6 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the display formats.
+MISSING = "-"
+CURRENCY_PREFIX = "R$ "
+PERCENT_SUFFIX = "%"
+SEPARATORS_FROM = ",."   # thousands ",", decimal "." as format_number writes them
+SEPARATORS_TO = ".,"     # pt-BR: thousands ".", decimal ","
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -20,21 +27,23 @@ def format_br_number(col, percent: bool = False) -> Column:
     c = _c(col)
     if percent:
         c = c * F.lit(100)
-    text = F.translate(F.format_number(c, 0), ",.", ".,")
+    text = F.translate(F.format_number(c, 0), SEPARATORS_FROM, SEPARATORS_TO)
     if percent:
-        text = F.concat(text, F.lit("%"))
-    return F.coalesce(text, F.lit("-"))
+        text = F.concat(text, F.lit(PERCENT_SUFFIX))
+    return F.coalesce(text, F.lit(MISSING))
 
 
 def format_percent_int(col) -> Column:
     """``x * 100`` rounded half-even to an integer, suffixed ``%``; NULL -> ``-``."""
     return F.coalesce(
-        F.concat(F.bround(_c(col) * F.lit(100), 0).cast("bigint").cast("string"), F.lit("%")),
-        F.lit("-"))
+        F.concat(F.bround(_c(col) * F.lit(100), 0).cast("bigint").cast("string"),
+                 F.lit(PERCENT_SUFFIX)),
+        F.lit(MISSING))
 
 
 def format_reais(col) -> Column:
     """``R$ `` + pt-BR number without decimals; NULL -> ``-``."""
     c = _c(col)
-    return F.when(c.isNull(), F.lit("-")).otherwise(
-        F.concat(F.lit("R$ "), F.translate(F.format_number(c, 0), ",.", ".,")))
+    return F.when(c.isNull(), F.lit(MISSING)).otherwise(
+        F.concat(F.lit(CURRENCY_PREFIX),
+                 F.translate(F.format_number(c, 0), SEPARATORS_FROM, SEPARATORS_TO)))

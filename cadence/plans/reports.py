@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.formatting import format_br_number, format_percent_int, format_reais
+from cadence.functions.formatting import (CURRENCY_PREFIX, MISSING, format_br_number,
+                                          format_percent_int, format_reais)
 from cadence.functions.numeric import safe_corr
 
 HISTORY_COLS = ["reference_date", "price_usd", "price_brl", "pct_change_1d", "volatility_7d",
@@ -121,9 +122,10 @@ def kpi_panel_formatted(panel: DataFrame) -> DataFrame:
     return panel.select(
         format_br_number("total_rows").alias("total_rows"),
         format_br_number("total_coins").alias("total_coins"),
-        F.coalesce(F.col("latest_date").cast("string"), F.lit("-")).alias("latest_date"),
-        F.concat(F.lit("R$ "), format_br_number("avg_price_brl")).alias("avg_price_brl"),
-        F.concat(F.lit("R$ "), format_br_number("latest_price_brl")).alias("latest_price_brl"),
+        F.coalesce(F.col("latest_date").cast("string"), F.lit(MISSING)).alias("latest_date"),
+        F.concat(F.lit(CURRENCY_PREFIX), format_br_number("avg_price_brl")).alias("avg_price_brl"),
+        F.concat(F.lit(CURRENCY_PREFIX), format_br_number("latest_price_brl"))
+        .alias("latest_price_brl"),
         format_br_number("corr_price_fx", percent=True).alias("corr_price_fx"))
 
 
