@@ -86,6 +86,8 @@ def table_checks(df: DataFrame, table: str, rules: dict | None = None,
     keys = list(KEYS[table] if keys is None else keys)
     required = list(REQUIRED_COLUMNS[table] if required is None else required)
     missing = [c for c in required if c not in df.columns]
+    if missing:          # reported first; the other rules need the columns
+        return [], missing
     checks: list[Check] = []
     for c in rules.get("null_check", []):
         checks.append(Check(table, "not_null", c, _is_null(df, c), MSG_NULLS))

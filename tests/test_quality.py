@@ -109,3 +109,13 @@ def test_documented_rules(spark):
     df = spark.createDataFrame(rows, "coin_id string, reference_date date, volatility_7d double")
     rep = {r.rule: r.violations for r in documented_report(df, D1 + dt.timedelta(30)).collect()}
     assert rep == {"future_date": 1, "gap_over_days": 2, "mean_volatility_band": 1}
+
+
+def test_missing_null_checked_column_reports_missing(spark):
+    df = spark.createDataFrame([("dolar", D1)], "indicator string, reference_date date")
+    with pytest.raises(DataQualityError) as e:
+        validate(df, "bcb_indicators")
+    assert str(e.value) == "bcb_indicators: colunas ausentes: valor"
+    rep = [(r.rule, r.column_name, r.violations)
+           for r in violation_report(df, "bcb_indicators").collect()]
+    assert rep == [("required_column", "valor", 1)]
