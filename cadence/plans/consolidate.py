@@ -72,19 +72,48 @@ def market_metrics(market: DataFrame, bucket: str | None = None) -> DataFrame:
                            reach=VOLATILITY_ROWS, bucket=_YEAR_BUCKETS[bucket])
 
 
-def lookback_start(market: DataFrame, start_date, rows: int = VOLATILITY_ROWS) -> Column:
-    """Earliest day among the last ``rows`` rows of every asset before
-    ``start_date`` -- reading from there gives every window its full frame.
-    Returns a literal (one scalar reaches the driver); with a month
-    partition column, only the partitions before the slice are listed."""
-    prior = market.where(F.col("reference_date") < _date(start_date))
-    if "ref_month" in market.columns:
-        prior = prior.where(F.col("ref_month") <= F.lit(str(start_date)[:7]))
-    prior = prior.select("coin_id", "reference_date")
-    w = Window.partitionBy("coin_id").orderBy(F.col("reference_date").desc())
-    cut = (prior.withColumn("_rn", F.row_number().over(w))
-           .where(F.col("_rn") <= rows).agg(F.min("reference_date")).first()[0])
-    return _date(cut) if cut is not None else _date(start_date)
+def lookback_start(market: DataFrame, start_date, rows: int = VOLATILITY_ROWS,
+                   recent_days: int = 45) -> Column:
+    """Earliest day among the ``rows`` rows before ``start_date`` of every
+    asset present in the slice -- reading from there gives every window of
+    the slice its full frame.  Returns a literal (one scalar reaches the
+    driver).
+
+    The frames are looked up in the last ``recent_days`` first (partition
+    pruned); only assets with fewer than ``rows`` rows there ("short") are
+    looked up in older history, joined to the short assets -- when there
+    are none that branch is empty at run time and AQE drops it.  Assets
+    absent from the slice do not move the cut."""
+    start = _dt.date.fromisoformat(str(start_date)[:10])
+    lo = start - _dt.timedelta(days=recent_days)
+    has_month = "ref_month" in market.columns
+
+    def between(df, first=None, last=None):
+        if first is not None:
+            df = df.where(F.col("reference_date") >= _date(first))
+            if has_month:
+                df = df.where(F.col("ref_month") >= F.lit(str(first)[:7]))
+        if last is not None:
+            df = df.where(F.col("reference_date") < _date(last))
+            if has_month:
+                df = df.where(F.col("ref_month") <= F.lit(str(last)[:7]))
+        return df.select("coin_id", "reference_date")
+
+    def last_rows(df):
+        w = Window.partitionBy("coin_id").orderBy(F.col("reference_date").desc())
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= rows)
+
+    in_slice = between(market, first=start).select("coin_id").distinct()
+    recent = between(market, first=lo, last=start).join(in_slice, "coin_id", "left_semi")
+    frames = last_rows(recent).groupBy("coin_id").agg(F.count(F.lit(1)).alias("_n"),
+                                                      F.min("reference_date").alias("_lo"))
+    full = frames.where(F.col("_n") >= rows)
+    short = in_slice.join(full, "coin_id", "left_anti")
+    short_rows = between(market, last=start).join(short, "coin_id", "left_semi")
+    cut = (full.select(F.col("_lo").alias("d"))
+           .unionByName(last_rows(short_rows).select(F.col("reference_date").alias("d")))
+           .agg(F.min("d")).first()[0])
+    return _date(cut) if cut is not None else _date(start)
 
 
 def macro_by_day(days: DataFrame, macro: DataFrame, indicators=None,

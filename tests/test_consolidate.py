@@ -142,3 +142,33 @@ def test_bucketed_windows_equal_per_asset_windows(spark, bucket):
     b = sorted(map(tuple, consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01",
                                       series_bucket=bucket).collect()))
     assert a == b
+
+
+def test_lookback_with_sparse_and_delisted_assets(spark):
+    rows = []
+    # delisted long ago: must not pull the cut back
+    for i in range(10):
+        rows.append(("old", D(2020, 1, 1) + dt.timedelta(i), Dec(100 + i), Dec("1"), Dec("1")))
+    # sparse: one row a month, so its 7-row frame reaches far back
+    for i in range(20):
+        rows.append(("sparse", D(2024, 1, 15) + dt.timedelta(30 * i), Dec(200 + 3 * i), Dec("1"),
+                     Dec("1")))
+    # dense: daily
+    for i in range(400):
+        rows.append(("dense", D(2024, 6, 1) + dt.timedelta(i), Dec(300 + (i * 7) % 50), Dec("1"),
+                     Dec("1")))
+    m = spark.createDataFrame(rows, "coin_id string, reference_date date, "
+                                    "price_usd decimal(20,8), market_cap_usd decimal(30,2), "
+                                    "volume_24h_usd decimal(30,2)")
+    start = D(2025, 5, 1)
+    full = {(r.coin_id, r.reference_date): r for r in
+            consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01").collect()}
+    look = consolidate(m, macro_df(spark, MACRO), start, mode="lookback",
+                       created_at="2026-01-01").collect()
+    assert look and all(r.reference_date >= start for r in look)
+    for r in look:
+        f = full[(r.coin_id, r.reference_date)]
+        assert (r.pct_change_1d, r.volatility_7d) == (f.pct_change_1d, f.volatility_7d)
+    from cadence.plans.consolidate import lookback_start
+    cut = m.select(lookback_start(m, start).alias("c")).first().c
+    assert D(2024, 1, 1) < cut < D(2025, 5, 1)      # the sparse asset sets it, not "old"
