@@ -17,7 +17,10 @@ coalesces small month partitions and splits a skewed one) and touch only the
 month partitions present in the batch: the target rows of those months are read (partition pruning), merged
 with the batch, staged as a written table under the shared checkpoint folder
 (cutting lineage; Spark cannot overwrite a path it is reading) and then
-swapped in with dynamic partition overwrite; the run's staging folder is
+swapped in with dynamic partition overwrite -- unless another writer
+changed those months since they were read (optimistic check on the file
+listing; the caller retries, the merge being idempotent); the run's
+staging folder is
 removed after the publish (kept when a check fails, for inspection).
 Re-running a failed or repeated load gives the same table (the merge is
 idempotent).
@@ -124,6 +127,29 @@ def _drop_staging(spark: SparkSession, stage: str) -> None:
         pass
 
 
+class ConcurrentUpdateError(RuntimeError):
+    """A partition about to be replaced changed after it was read."""
+
+
+def _partition_listing(spark: SparkSession, path: str) -> dict | None:
+    """``{month: ((file, mtime, size), ...)}`` of a table's partitions
+    (metadata calls only); ``None`` when the JVM is not reachable."""
+    try:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = {}
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(PARTITION_COL + "="):
+                out[name.split("=", 1)[1]] = tuple(sorted(
+                    (f.getPath().getName(), f.getModificationTime(), f.getLen())
+                    for f in fs.listStatus(st.getPath())))
+        return out
+    except Exception:  # noqa: BLE001 -- remote session: no guard
+        return None
+
+
 def _observed_rows(seen: Observation, batch: DataFrame) -> int:
     """Rows observed during the write; an empty batch can be optimised away
     together with its observation, then the batch is counted directly."""
@@ -180,6 +206,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     staged_batch = batch.select(*columns, *(batch_order or [])).observe(
         seen, F.count(F.lit(1)).alias("rows"))
     if _table_exists(spark, path, schema):
+        before = _partition_listing(spark, path)
         touched = staged_batch.select(month.alias(PARTITION_COL)).distinct()
         current = spark.read.schema(T.StructType(schema.fields + [
             T.StructField(PARTITION_COL, T.StringType())])).parquet(path)
@@ -210,6 +237,15 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
     if check is not None:
         check(staged.drop(PARTITION_COL))
+    # optimistic concurrency: the months about to be replaced must be as
+    # they were when read (another writer would otherwise be overwritten)
+    after = _partition_listing(spark, path)
+    staged_months = _partition_listing(spark, stage)
+    if before is not None and after is not None and staged_months is not None:
+        changed = sorted(m for m in staged_months if before.get(m) != after.get(m))
+        if changed:
+            raise ConcurrentUpdateError(
+                f"{path}: partitions changed by another writer: {', '.join(changed[:5])}")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

@@ -120,3 +120,22 @@ def test_empty_batch_leaves_table_unchanged(spark, tmp_dir):
     empty = _stamp(spark.createDataFrame([], SCHEMA))
     assert upsert_table(spark, path, empty, keys, MACRO) == 0
     assert rows_of(read_table(spark, path, MACRO)) == [("dolar", D(2026, 1, 5), Dec("5.0"))]
+
+
+def test_concurrent_change_is_detected(spark, tmp_dir):
+    from cadence.operators.upsert import ConcurrentUpdateError
+    path = os.path.join(tmp_dir, "macro")
+    keys = ["indicator", "reference_date"]
+    first = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.0"))], SCHEMA))
+    upsert_table(spark, path, first, keys, MACRO)
+    mine = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 6), Dec("5.1"))], SCHEMA))
+    other = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 7), Dec("5.2"))], SCHEMA))
+
+    def someone_else_writes(_staged):        # runs between staging and publishing
+        upsert_table(spark, path, other, keys, MACRO)
+
+    with pytest.raises(ConcurrentUpdateError):
+        upsert_table(spark, path, mine, keys, MACRO, check=someone_else_writes)
+    # the other writer's rows survive; a retry then merges ours
+    assert upsert_table(spark, path, mine, keys, MACRO) == 1
+    assert [r[1].day for r in rows_of(read_table(spark, path, MACRO))] == [5, 6, 7]
