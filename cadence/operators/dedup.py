@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,11 +23,39 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return picked.select(*keys, *[F.col(f"_kl.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def packed_order(primary: Column, tie: Column, tie_digits: int = 19) -> Column:
+    """``(primary, tie)`` as one exact ``DECIMAL(38,0)`` ordering key:
+    ``primary * 10**tie_digits + tie`` -- order preserving for an integral
+    ``primary`` (timestamps are taken as epoch microseconds, numbers are
+    truncated to integers) and ``0 <= tie < 10**tie_digits``.
+
+    One orderable number keeps ``max_by``/``min_by`` in hash aggregation; a
+    struct key would force sort-based aggregation (a map-side sort of every
+    input row)."""
+    scale = F.lit("1" + "0" * tie_digits).cast("decimal(38,0)")
+    return primary.cast("decimal(38,0)") * scale + tie.cast("decimal(38,0)")
+
+
+def timestamp_micros(col: Column) -> Column:
+    return F.unix_micros(col.cast("timestamp"))
+
+
 def last_of_day(points: DataFrame, series: str, day: str, order: Sequence[str],
                 value: str, *, extra: dict | None = None) -> DataFrame:
-    """Per ``(series, day)``: the ``value`` of the last point by ``order``,
-    plus ``extra`` named aggregates computed in the same pass."""
-    order_key = F.struct(*[F.col(c) for c in order])
+    """Per ``(series, day)``: the ``value`` of the last point by ``order``
+    (one column, or a timestamp/integer plus a non-negative integer tie),
+    plus ``extra`` named aggregates computed in the same pass -- a hash
+    aggregate with a map-side partial phase."""
+    if len(order) == 1:
+        order_key = F.col(order[0])
+    elif len(order) == 2:
+        first = F.col(order[0])
+        kinds = dict(points.dtypes)
+        if kinds[order[0]].startswith("timestamp"):
+            first = timestamp_micros(first)
+        order_key = packed_order(first, F.col(order[1]))
+    else:
+        order_key = F.struct(*[F.col(c) for c in order])
     aggs = [F.max_by(F.col(value), order_key).alias(value)]
     for name, expr in (extra or {}).items():
         aggs.append(expr.alias(name))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.dates import epoch_ms_to_date
+from cadence.operators.dedup import packed_order, timestamp_micros
 from cadence.functions.numeric import parse_decimal_comma
 from cadence.schemas import MACRO_PAYLOAD, MARKET_PAYLOAD
 
@@ -73,7 +74,8 @@ def daily_market(points: DataFrame) -> DataFrame:
     ``(ms, position)``; cap and volume likewise from their own arrays.
     Days without any price point are dropped."""
     day = epoch_ms_to_date("ms")
-    order = F.struct(F.col("ms"), F.col("pos"))
+    # (ms, position) packed into one exact number: keeps the hash aggregate
+    order = packed_order(F.col("ms"), F.col("pos"), tie_digits=10)
 
     def last_of(kind: int) -> Column:
         return F.max_by(F.col("value"), F.when(F.col("kind") == kind, order))
@@ -142,8 +144,9 @@ def daily_bars(ticks: DataFrame, series: str = "series", ts: str = "ts",
                volume: str | None = None) -> DataFrame:
     """Intra-day points -> daily bar per series: first/last (open/close) by
     ``(ts, tie)``, high, low, summed volume (``volume`` column, default the
-    value itself) and point count -- one partial+final aggregate."""
-    order = F.struct(F.col(ts), F.col(tie))
+    value itself) and point count -- one partial+final hash aggregate
+    (``tie`` must be a non-negative integer)."""
+    order = packed_order(timestamp_micros(F.col(ts)), F.col(tie))
     vol = F.col(volume or value)
     return (ticks.groupBy(F.col(series).alias("series"), F.to_date(F.col(ts)).alias("day"))
             .agg(F.min_by(F.col(value), order).alias("open"),

@@ -46,3 +46,11 @@ def test_upsert_filters_target_without_aggregating_it(spark):
                             "volume_24h_usd"]))
     assert "LeftAnti" in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_raw_point_reductions_are_hash_aggregates(spark):
+    # a struct ordering key would force a map-side sort of every raw row
+    for name in ("market_daily", "daily_bars", "json_market_scan"):
+        plan = executed(E.queries()[name](spark, SF_SMALL))
+        assert "SortAggregate" not in plan, name
+        assert "HashAggregate" in plan, name
