@@ -1,0 +1,86 @@
+"""Quality rules against a plain Python version."""
+
+import re
+from collections import Counter, defaultdict
+
+from cadence.llm import quality_rules as Q
+from cadence.llm.queries import QUERIES
+from tests.llm.fixtures import SF, corpus, frame, stored
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def repeated(words):
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    times = Counter(grams)
+    return len({i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(3)})
+
+
+def plain(line):
+    return re.sub(r"\s+", " ", line.lower()).strip(" ")
+
+
+def brute(docs):
+    """docs: (id, text, host)."""
+    holders, texts = defaultdict(dict), defaultdict(set)
+    for n, (_, text, host) in enumerate(docs):
+        if text is None or not any(x.strip(" ") for x in text.split("\n")):
+            continue
+        texts[host].add(text)
+        for line in text.split("\n"):
+            if line.strip(" "):
+                holders[host, plain(line)].setdefault(text, n)
+    heavy = {k: min(v, key=v.get) for k, v in holders.items()
+             if len(v) > Q.MIN_DOCS and len(v) > len(texts[k[0]]) * Q.HOST_SHARE}
+    out = {}
+    for key, text, host in docs:
+        body = text or ""
+        words = WORD.findall(body)
+        lines = [x for x in body.split("\n") if WORD.search(x)]
+        gone = sum(len(WORD.findall(x)) for x in body.split("\n")
+                   if heavy.get((host, plain(x)), text) != text)
+        reps = repeated(words)
+        failed = len(words) < 50 or 100 * reps > 50 * len(words)
+        out[key] = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", body)),
+                    len(lines) - len(set(lines)), reps, failed, gone,
+                    not failed and len(words) - gone >= Q.KEPT_SHARE * len(words))
+    return out
+
+
+def compare(found, docs):
+    expected = brute(docs)
+    assert len(found) == len(docs)
+    for r in found:
+        assert tuple(r)[1:] == expected[r["doc_id"]], r["doc_id"]
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source")
+    compare(QUERIES["op9_quality_rules"](spark, SF).collect(), [tuple(r) for r in docs.collect()])
+
+
+def test_frequent_lines_and_edges(spark, tmp_dir):
+    texts = corpus()
+    body = "unique start {0} " + "some words of their own {0} and more of it {0} again " * 6
+    texts += [f"Shared  header of the host\n{body.format(f'n{k}')}" for k in range(90)]
+    texts += ["Shared header of THE host\nshared  header of the host\n" * 20 + f"tail {k}"
+              for k in range(3)]
+    docs = stored(spark, texts, tmp_dir)
+    found = Q.assess(docs).collect()
+    compare(found, [(i, t, f"s{i % 2}") for i, t in enumerate(texts)])
+    assert any(r["removed_words"] for r in found)
+    kept = Q.filter_documents(docs)
+    assert kept.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert set(got) == {r["doc_id"] for r in found if r["kept"]}
+    first = min(i for i, t in enumerate(texts) if t and t.startswith("Shared  header"))
+    assert sum("header" in t for t in got.values()) <= 2 and "header" in got[first]
+    empty = frame(spark, [])
+    assert Q.assess(empty).count() == 0 and Q.filter_documents(empty).count() == 0
+
+
+def test_long_text_uses_wide_positions(spark, monkeypatch):
+    monkeypatch.setattr(Q, "_SHORT", 6)
+    words = [f"w{i % 97}" for i in range(300)]
+    df = spark.createDataFrame([(words,)], "w array<string>")
+    assert Q.with_repeated_words(df, "w", "n").first()["n"] == repeated(words)
