@@ -12,6 +12,7 @@ Spark counts over all documents.  ``TRAIN_DOCS`` bounds the sample.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,14 @@ ROUNDS = 100            # EM rounds
 STEPS = 300             # gradient steps
 INSULT_WORDS = 200      # one insult in so many words rejects a document
 # Words of abuse.
-INSULTS = frozenset(("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless",
-                     "pathetic", "disgusting", "clown"))
+INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic",
+           "disgusting", "clown")
 
 LABELLERS = ("length", "symbols", "shouting", "repetition", "variety", "word_length", "exclaim",
              "sentences", "abuse")
 
+_ABUSE = re.compile(r"\b(?:" + "|".join(INSULTS) + r")s?\b", re.IGNORECASE)
+
 ship(__name__)
 
 
@@ -58,7 +61,7 @@ def votes(text: str | None) -> tuple[list[int], int, int]:
     distinct = len(set(words))
     lines = [x.rstrip() for x in text.split("\n") if x.strip()]
     ended = sum(x.endswith((".", "!", "?", '"', "…")) for x in lines) / len(lines)
-    abuse = len(INSULTS.intersection(words)) and sum(w in INSULTS for w in words)
+    abuse = len(_ABUSE.findall(text))
     shout = upper / max(1, upper + lower)
     mean = chars / n
     return [

@@ -133,6 +133,16 @@ def _depleted() -> Column:
     return F.col("n_words") - F.col("removed_words") < KEPT_SHARE * F.col("n_words")
 
 
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """``rid, key``, counts, ``base_failed``, ``removed_words``, ``removed``
+    and ``kept`` of ``docs`` (``rid, key, text, host``)."""
+    removed = _removed(docs, "text", "host", "rid")
+    both = _counted(docs.select("rid", "key", "text")).join(removed, "rid", "left").withColumn(
+        "removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    return both.select("*", _base_failed().alias("base_failed"),
+                       (~_base_failed() & ~_depleted()).alias("kept"))
+
+
 def assess(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id"
            ) -> DataFrame:
     """One row per row of ``docs`` (a stored table): ``key``, the counts,
@@ -141,31 +151,22 @@ def assess(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     document to the line frequency.  An empty table gives an empty result."""
     numbered = docs.select(F.monotonically_increasing_id().alias("rid"), col(key).alias("key"),
                            col(text).alias("text"), col(host).alias("host"))
-    removed = _removed(numbered, "text", "host", "rid").drop("removed")
-    both = _counted(numbered.select("rid", "key", "text")).join(removed, "rid", "left").withColumn(
-        "removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
-    return both.select(
+    return _verdicts(numbered).select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", _base_failed().alias("base_failed"), "removed_words",
-        (~_base_failed() & ~_depleted()).alias("kept"))
+        "n_repeat_words", "base_failed", "removed_words", "kept")
 
 
 def filter_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, without the lines above the limits.  Columns
     are those of ``docs`` (a stored table)."""
-    rid, = fresh(docs, "rid")
+    rid, gone = fresh(docs, "rid", "gone")
     numbered = docs.withColumn(rid, F.monotonically_increasing_id())
-    removed = _removed(numbered, text, host, rid)
-    r_words, r_lines, n, reps, w = fresh(numbered, "removed_words", "removed", "n_words", "reps",
-                                         "w")
-    removed = removed.select(F.col("rid").alias(rid), F.col("removed_words").alias(r_words),
-                             F.col("removed").alias(r_lines))
-    passed = (with_repeated_words(numbered.withColumn(w, words(col(text))), w, reps)
-              .withColumn(n, F.size(col(w))).drop(w)
-              .where((col(n) >= MIN_WORDS) & (100 * col(reps) <= MAX_REPEAT_PERCENT * col(n))))
-    joined = passed.join(removed, rid, "left").where(
-        F.coalesce(col(n) - col(r_words) >= KEPT_SHARE * col(n), F.lit(True)))
+    # written first: a filter on it would otherwise repeat the counting per lambda call
+    kept = materialise(_verdicts(numbered.select(
+        col(rid).alias("rid"), F.lit(None).cast("int").alias("key"), col(text).alias("text"),
+        col(host).alias("host"))).select("rid", "removed", "kept")).where("kept")
+    joined = numbered.join(kept.select(F.col("rid").alias(rid), F.col("removed").alias(gone)), rid)
     rest = F.array_join(F.filter(F.split(col(text), "\n"), lambda x: ~F.array_contains(
-        col(r_lines), F.xxhash64(_line(x)))), "\n")
-    clean = F.when(col(r_lines).isNull(), col(text)).otherwise(rest)
+        col(gone), F.xxhash64(_line(x)))), "\n")
+    clean = F.when(col(gone).isNull(), col(text)).otherwise(rest)
     return joined.select(*(clean.alias(c) if c == text else col(c) for c in docs.columns))

@@ -1,0 +1,67 @@
+"""Decontamination against planted items and a plain containment test."""
+
+import random
+
+from cadence.llm import decontamination as D
+from cadence.llm.queries import QUERIES
+from tests.llm.fixtures import SF, corpus, frame, stored
+
+
+def bench(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def test_query_finds_every_item_that_a_document_holds(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    found = {r["doc_id"]: r for r in QUERIES["op1_decontamination"](spark, SF).collect()}
+    assert len(found) == len(docs)
+    for doc in docs:
+        words = " " + " ".join(doc["text"].lower().split()) + " "
+        whole = any(" " + " ".join(t.lower().split()) + " " in words for t in items)
+        # an item shares windows only if a run of five words does
+        grams = set(zip(*(words.split()[k:] for k in range(5)), strict=False))
+        some = any(sum(g in grams for g in zip(*(t.lower().split()[k:] for k in range(5)),
+                                               strict=False)) > 3 for t in items)
+        flagged = found[doc["doc_id"]]["contaminated"]
+        assert flagged or not whole
+        assert some or not flagged
+
+
+ITEM = ("A farmer called Maria Lopez sells 12 apples for 30 dollars at the old market and then "
+        "buys 12 pears for 45 km of road; how much does Maria Lopez keep?")
+
+
+def test_reparameterised_questions(spark, tmp_dir):
+    rng = random.Random(2)
+    noise = lambda n: " ".join(f"n{rng.randrange(900)}z" for _ in range(n))
+    renamed = (ITEM.replace("Maria Lopez", "John").replace("12", "77").replace("30", "1,250.5")
+               .replace("dollars", "euros").replace("km", "miles"))
+    torn = ITEM.replace("12 apples", "12 apples").replace("12 pears", "13 pears")
+    texts = [f"{noise(30)}. {ITEM} {noise(20)}", f"{noise(10)}\n{renamed}\n{noise(400)}",
+             f"{noise(10)} {torn}", noise(80), ITEM, ITEM[:60], *corpus()]
+    docs = stored(spark, texts, tmp_dir)
+    benchmark = bench(spark, [ITEM, "", None, "tiny item", noise(30)])
+    rows = D.flag_contaminated(docs, benchmark).collect()
+    flags = {r["doc_id"]: r["contaminated"] for r in rows}
+    assert [flags[i] for i in range(6)] == [True, True, False, False, True, False]
+    assert not any(flags[i] for i in range(6, len(texts)))
+    assert {r["items"] for r in rows if r["contaminated"]} == {"0"}
+    kept = D.remove_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in flags if not flags[i]}
+
+
+def test_shuffled_join_gives_the_same(spark, tmp_dir, monkeypatch):
+    docs = stored(spark, [ITEM, "x", f"a b {ITEM}"], tmp_dir)
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    found = D.flag_contaminated(docs, bench(spark, [ITEM])).collect()
+    assert [r["contaminated"] for r in sorted(found)] == [True, False, True]
+
+
+def test_empty_tables(spark, tmp_dir):
+    docs = stored(spark, ["a b c", None, ""], tmp_dir)
+    none = bench(spark, [ITEM]).limit(0)
+    assert D.flag_contaminated(docs, none).where("contaminated").count() == 0
+    assert D.remove_contaminated(docs, none).count() == 3
+    assert D.flag_contaminated(frame(spark, []), bench(spark, [ITEM])).count() == 0

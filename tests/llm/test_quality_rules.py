@@ -61,8 +61,8 @@ def test_query(spark):
 
 def test_frequent_lines_and_edges(spark, tmp_dir):
     texts = corpus()
-    body = "unique start {0} " + "some words of their own {0} and more of it {0} again " * 6
-    texts += [f"Shared  header of the host\n{body.format(f'n{k}')}" for k in range(90)]
+    texts += ["Shared  header of the host\n" + " ".join(f"d{k}w{j}" for j in range(60))
+              for k in range(90)]
     texts += ["Shared header of THE host\nshared  header of the host\n" * 20 + f"tail {k}"
               for k in range(3)]
     docs = stored(spark, texts, tmp_dir)
