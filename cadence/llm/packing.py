@@ -21,6 +21,7 @@ length that a third of all pieces share is not gathered anywhere.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,40 +34,79 @@ from cadence.llm.common import col, materialise, ship
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000   # remembered words of a task
+CACHE_WORDS = 500_000   # remembered words of a task
 
 ship(__name__)
 
 
 # ---------------------------------------------------------------- tokens
 class WordEncoder:
-    """Token ids of texts, word by word: the tokenizer never joins across
-    white space, so a text's ids are those of its white-space-separated
-    parts.  Each distinct part is encoded once per cache life."""
+    """Token ids of texts, word by word.
+
+    The tokenizer never joins across white space, so a text's ids are those
+    of its white-space-separated parts.  A Latin-1 part is cut further into
+    the tokenizer's own pieces (lower case; letters, single digits, other
+    characters, English endings); parts with other characters are encoded
+    whole.  Each distinct part and piece is encoded once per cache life, many
+    pieces in one call."""
+
+    PLAIN = re.compile(r"[!-~\xa1-\xff]+")
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]"
+                        r"|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+")
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         parts = text.encode("utf-8", "replace").split()
-        known = self.known
+        known = self.parts
         try:
             return b"".join([known[p] for p in parts])
         except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({p for p in parts if p not in known})
-        codes = self.tokenizer.encode_batch_fast([p.decode() for p in new],
-                                                 add_special_tokens=False)
-        for part, code in zip(new, codes, strict=True):
-            known[part] = np.array(code.ids, dtype="<u4").tobytes()
-        return b"".join([known[p] for p in parts])
+            self._learn({p for p in parts if p not in known}, parts)
+        return b"".join([self.parts[p] for p in parts])
+
+    def _learn(self, new: set[bytes], parts: list[bytes]) -> None:
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+            self.pieces.clear()
+            new = set(parts)
+        cuts, whole = {}, []
+        for part in new:
+            word = part.decode()
+            if self.PLAIN.fullmatch(word) and "<|" not in word:
+                cuts[part] = self.PIECES.findall(word.lower())
+            else:
+                whole.append(part)
+        pieces = list({p for cut in cuts.values() for p in cut if p not in self.pieces})
+        for at in range(0, len(pieces), 500):
+            self._learn_pieces(pieces[at: at + 500])
+        for part, cut in cuts.items():
+            self.parts[part] = b"".join([self.pieces[p] for p in cut])
+        for part, code in zip(whole, self._batch([p.decode() for p in whole]), strict=True):
+            self.parts[part] = code
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, dtype="<u4").tobytes() for c in codes]
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        code = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids, owners = np.array(code.ids, dtype="<u4"), np.array(code.word_ids, dtype=np.int64)
+        starts = np.flatnonzero(np.diff(owners, prepend=-1))
+        if len(starts) == len(pieces):       # one pre-token per piece
+            ends = [*starts[1:].tolist(), len(ids)]
+            raw = ids.tobytes()
+            self.pieces.update((p, raw[4 * s: 4 * e]) for p, s, e in
+                               zip(pieces, starts.tolist(), ends, strict=True))
+        else:
+            self.pieces.update(zip(pieces, self._batch(pieces), strict=True))
 
 
 def pieces(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",

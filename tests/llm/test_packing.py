@@ -87,3 +87,15 @@ def test_least_squares_is_non_negative_and_close():
     rows, cols = np.array([0, 1, 0, 2, 1, 2]), np.array([0, 0, 1, 1, 2, 2])
     x = P.repeat_counts(rows, cols, np.ones(6), np.array([5.0, 4.0, 3.0]), 3)
     assert (x >= 0).all() and np.allclose(x, [3, 2, 1], atol=0.05)
+
+
+def test_word_encoder_equals_the_tokenizer(monkeypatch):
+    tokenizer = Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    alphabet = [chr(c) for c in range(33, 0x180)] + list("'stdmrevl''  \n\t_<|>İΣς́\xa0…日🙂")
+    monkeypatch.setattr(P, "CACHE_WORDS", 200)
+    encoder = P.WordEncoder(PATH)
+    for _ in range(400):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(60)))
+        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        assert encoder.encode(text) == want.tobytes(), text
