@@ -60,12 +60,12 @@ def main(argv=None) -> int:
             spark, paths, args.start_date, mode=args.mode_slice, validate_when=args.validate,
             series_bucket=args.series_bucket)
     if args.mode == "counts":
-        from cadence.operators.upsert import read_table
+        from cadence.operators.upsert import read_table, table_exists
         from cadence.schemas import CONSOLIDATED, MACRO, MARKET
         from cadence.sources.tables import count_report, write_count_report_csv
 
         def maybe(path, schema):
-            return read_table(spark, path, schema) if os.path.exists(path) else None
+            return read_table(spark, path, schema) if table_exists(spark, path) else None
         report = count_report({"bcb_indicators": maybe(paths.macro, MACRO),
                                "crypto_market": maybe(paths.market, MARKET),
                                "daily_consolidated": maybe(paths.consolidated, CONSOLIDATED)})

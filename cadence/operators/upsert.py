@@ -12,32 +12,28 @@ map-side partial phase, so a key repeated millions of times in a batch is
 reduced before the shuffle instead of being sorted in one task.  The target
 is only filtered (anti-join on the batch keys), never aggregated.
 
-Writes (``upsert_table``) are sized with the ``rebalance`` hint (AQE
-coalesces small month partitions and splits a skewed one) and touch only the
-month partitions present in the batch: the target rows of those months are read (partition pruning), merged
-with the batch, staged as a written table under the shared checkpoint folder
-(cutting lineage; Spark cannot overwrite a path it is reading) and then
-swapped in with dynamic partition overwrite -- unless another writer
-changed those months since they were read (optimistic check on the file
-listing; the caller retries, the merge being idempotent); the run's
-staging folder is
-removed after the publish (kept when a check fails, for inspection).
-Re-running a failed or repeated load gives the same table (the merge is
-idempotent).
+Writes (``upsert_table``) touch only the month partitions present in the
+batch.  The batch's months are found first and bound the scan of the target
+by literal ``ref_month`` predicates, so other months are neither listed nor
+read.  The merged months are staged in a folder beside the table, on its own
+filesystem (Spark cannot overwrite a path it is reading), and then replace
+the months by a dynamic partition overwrite of that one write.  One writer
+per table is assumed; where a catalog supports it, ``DataFrame.mergeInto`` is
+the way to concurrent writers.  Re-running a failed or repeated load gives
+the same table (the merge is idempotent).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.numeric import nan_to_null
 from cadence.operators.dedup import keep_last
-from cadence.session import scratch_path
 
 PARTITION_COL = "ref_month"
 
@@ -98,65 +94,27 @@ def conform(df: DataFrame, schema: T.StructType, stamp_col: str | None = None,
     return df.select(*cols)
 
 
-def _table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """True when ``path`` holds a table (metadata only, no job): a Hadoop
-    FileSystem lookup when the JVM is reachable, else a read probe."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:  # remote session
-        pass
-    try:
-        spark.read.schema(schema).parquet(path)
-        return True
-    except AnalysisException:
-        return False
+def _filesystem(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def _drop_staging(spark: SparkSession, stage: str) -> None:
-    """Remove this run's own staging folder after a successful publish
-    (through the Hadoop FileSystem of the path; skipped when the JVM is not
-    reachable -- the shared folder's retention then expires it)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(stage)
-        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
-    except Exception:  # noqa: BLE001
-        pass
-
-
-class ConcurrentUpdateError(RuntimeError):
-    """A partition about to be replaced changed after it was read."""
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path``, of any filesystem Spark knows, is there (no job)."""
+    fs, jpath = _filesystem(spark, path)
+    return bool(fs.exists(jpath))
 
 
-def _partition_listing(spark: SparkSession, path: str) -> dict | None:
-    """``{month: ((file, mtime, size), ...)}`` of a table's partitions
-    (metadata calls only); ``None`` when the JVM is not reachable."""
-    try:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        out = {}
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(PARTITION_COL + "="):
-                out[name.split("=", 1)[1]] = tuple(sorted(
-                    (f.getPath().getName(), f.getModificationTime(), f.getLen())
-                    for f in fs.listStatus(st.getPath())))
-        return out
-    except Exception:  # noqa: BLE001 -- remote session: no guard
-        return None
+def _drop_staging(spark: SparkSession, stage: str) -> None:
+    """Remove this run's own staging folder after a successful publish."""
+    fs, jpath = _filesystem(spark, stage)
+    fs.delete(jpath, True)
 
 
-def _observed_rows(seen: Observation, batch: DataFrame) -> int:
-    """Rows observed during the write; an empty batch can be optimised away
-    together with its observation, then the batch is counted directly."""
-    try:
-        return int(seen.get["rows"])
-    except Exception:  # noqa: BLE001
-        return batch.count()
+def _stage_path(path: str) -> str:
+    """A new folder beside the table; readers skip names with ``_``."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staging_{name}_{uuid.uuid4().hex}"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -195,63 +153,38 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     published; raising there leaves the table untouched.  Since a key lives
     in one month partition, checking the touched partitions checks the whole
     new table given the untouched ones were valid.
-    Returns the number of batch rows (as the original loader did), observed
-    during the write; the observation is an accumulator, so a re-executed
-    stage after an executor loss can over-count -- callers that need an exact
-    figure count their (persisted) batch, as the jobs do."""
+    The batch is evaluated for its months and count and again for the merge:
+    pass a persisted one.  Returns the number of batch rows."""
     month = F.date_format(F.col(date_col), "yyyy-MM")
     columns = [f.name for f in schema.fields]
-    # the batch row count is observed during the write job (no second pass)
-    seen = Observation("upsert_batch")
-    staged_batch = batch.select(*columns, *(batch_order or [])).observe(
-        seen, F.count(F.lit(1)).alias("rows"))
-    if _table_exists(spark, path, schema):
-        before = _partition_listing(spark, path)
-        touched = staged_batch.select(month.alias(PARTITION_COL)).distinct()
-        current = spark.read.schema(T.StructType(schema.fields + [
-            T.StructField(PARTITION_COL, T.StringType())])).parquet(path)
-        current = current.join(touched, PARTITION_COL, "left_semi").drop(PARTITION_COL)
-        merged = upsert(current, staged_batch, keys, batch_order, columns)
-    else:
-        # new table: nothing is read from ``path``, so no staging is needed
-        merged = upsert(None, staged_batch, keys, batch_order, columns) \
-            .withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
-        if check is not None:
-            stage = scratch_path(spark, "upsert")
-            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
-            merged = spark.read.schema(T.StructType(schema.fields + [
-                T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
-            check(merged.drop(PARTITION_COL))
-            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
-            if not keep_staging:
-                _drop_staging(spark, stage)
-        else:
-            merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
-        return _observed_rows(seen, batch)
+    batch = batch.select(*columns, *(batch_order or []))
+    extent = batch.agg(F.min(month).alias("low"), F.max(month).alias("high"),
+                       F.count(F.lit(1)).alias("rows")).first()
+    stored = T.StructType(schema.fields + [T.StructField(PARTITION_COL, T.StringType())])
+    known = table_exists(spark, path)
+    if known and not extent["rows"]:
+        return 0
+    current = None
+    if known:
+        ref = F.col(PARTITION_COL)
+        touched = batch.select(month.alias(PARTITION_COL)).distinct()
+        current = (spark.read.schema(stored).parquet(path)
+                   .where((ref >= extent["low"]) & (ref <= extent["high"]))
+                   .join(touched, PARTITION_COL, "left_semi").drop(PARTITION_COL))
     # rebalance: AQE sizes the write tasks by month -- small months are
     # coalesced into few files, a hot month is split over several tasks
-    merged = merged.withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
-    stage = scratch_path(spark, "upsert")
-    merged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage)
-    staged = spark.read.schema(T.StructType(schema.fields + [
-        T.StructField(PARTITION_COL, T.StringType())])).parquet(stage)
+    merged = upsert(current, batch, keys, batch_order, columns) \
+        .withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
+    if not known and check is None:      # nothing to read back first
+        merged.write.mode("errorifexists").partitionBy(PARTITION_COL).parquet(path)
+        return extent["rows"]
+    stage = _stage_path(path)
+    merged.write.mode("errorifexists").partitionBy(PARTITION_COL).parquet(stage)
+    staged = spark.read.schema(stored).parquet(stage)
     if check is not None:
         check(staged.drop(PARTITION_COL))
-    # optimistic concurrency: the months about to be replaced must be as
-    # they were when read (another writer would otherwise be overwritten)
-    after = _partition_listing(spark, path)
-    staged_months = _partition_listing(spark, stage)
-    if before is not None and after is not None and staged_months is not None:
-        changed = sorted(m for m in staged_months if before.get(m) != after.get(m))
-        if changed:
-            raise ConcurrentUpdateError(
-                f"{path}: partitions changed by another writer: {', '.join(changed[:5])}")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PARTITION_COL).parquet(path))
     if not keep_staging:
         _drop_staging(spark, stage)
-    return _observed_rows(seen, batch)
+    return extent["rows"]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadence.operators.quality import check_not_empty, evaluate, validate
 from cadence.operators.upsert import conform, market_batch_clean, read_table, upsert_table
 from cadence.plans.consolidate import consolidate
-from cadence.plans.transforms import transform_macro, transform_market
+from cadence.plans.transforms import clean_market, transform_macro
 from cadence.schemas import CONSOLIDATED, KEYS, MACRO, MARKET
 from cadence.sources.tables import append_run_log
 
@@ -72,11 +72,12 @@ def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
 
 def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
                 dag_id: str = "load_market", task_id: str = "load_market") -> int:
-    """Landed daily market rows -> transform (change and volatility are
-    computed for validation but not stored) -> validate -> NaN to NULL ->
-    keyed merge into the market table -> run log."""
+    """Landed daily market rows -> clean -> validate -> NaN to NULL ->
+    keyed merge into the market table -> run log.  The change and volatility
+    of ``transform_market`` are neither stored nor validated, so the load
+    does not compute them."""
     def run():
-        batch = transform_market(landed).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = clean_market(landed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             validate(batch, "crypto_market")
             n = batch.count()          # exact even after task retries (cached)
@@ -111,8 +112,12 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
         facts = consolidate(market, macro, start_date, mode=mode, series_bucket=series_bucket)
         check = ((lambda staged: validate(staged, "daily_consolidated"))
                  if validate_when == "before" else None)
-        upsert_table(spark, paths.consolidated, facts, KEYS["daily_consolidated"],
-                     CONSOLIDATED, check=check)
+        facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            upsert_table(spark, paths.consolidated, facts, KEYS["daily_consolidated"],
+                         CONSOLIDATED, check=check)
+        finally:
+            facts.unpersist()
         table = read_table(spark, paths.consolidated, CONSOLIDATED)
         if validate_when == "after":
             validate(table, "daily_consolidated")

@@ -23,6 +23,13 @@ def transform_macro(df: DataFrame) -> DataFrame:
             .dropna(subset=["valor"]))
 
 
+def clean_market(df: DataFrame) -> DataFrame:
+    """Day-typed market rows; rows lacking asset, day or price are dropped.
+    Row by row: no shuffle."""
+    return df.withColumn("reference_date", to_day("reference_date")).dropna(
+        how="any", subset=MARKET_CRITICAL)
+
+
 def transform_market(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Day-typed market rows with the unrounded double percent change against
     the previous row of the asset and the sample deviation of that change
@@ -30,8 +37,7 @@ def transform_market(df: DataFrame, ordered: bool = False) -> DataFrame:
     day or price are dropped first.  ``ordered`` sorts the output by asset
     and day (a global sort: only when the order itself is wanted)."""
     w = series_window("coin_id", "reference_date")
-    out = (df.withColumn("reference_date", to_day("reference_date"))
-           .dropna(how="any", subset=MARKET_CRITICAL)
+    out = (clean_market(df)
            .withColumn("pct_change_1d", pct_change("price_usd", w, scale=None, exact=False))
            .withColumn("volatility_7d", rolling_stddev("pct_change_1d", w, scale=None)))
     return out.orderBy("coin_id", "reference_date") if ordered else out

@@ -28,34 +28,11 @@ SESSION_DEFAULTS = {
 }
 
 
-def sizing(input_bytes: int, total_cores: int, *, shuffle_target: int = 128 << 20,
-           scan_split: int = 256 << 20, max_partitions: int = 65536) -> dict:
-    """Partition sizing for a given input volume.
-
-    Scan splits of ``scan_split`` bytes; an initial shuffle partition count
-    of ``input / shuffle_target`` (at least 2 x cores) so that no shuffle
-    partition is larger than executors can sort in memory even before AQE
-    acts; AQE then coalesces small partitions towards the advisory size and
-    splits skewed ones; partitions are coalesced at run time after the early
-    aggregations have reduced the data.  The count is capped at ``max_partitions`` (map
-    status tracking on the driver grows with it); a shuffle carrying the full
-    100 TB would still get ~1.6 GB partitions, which sort with spill."""
-    initial = min(max_partitions,
-                  max(2 * total_cores, -(-int(input_bytes) // shuffle_target)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(scan_split),
-        "spark.sql.shuffle.partitions": str(initial),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target),
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
-
-
 def build_session(master: str | None = None, app_name: str = "cadence",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine defaults; ``extra`` may
-    carry :func:`sizing` for the volume at hand."""
+    """Create (or reuse) a session with the engine defaults and ``extra``
+    settings."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -72,24 +49,20 @@ def build_session(master: str | None = None, app_name: str = "cadence",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the SQL defaults to an existing session and make sure a
-    checkpoint directory is known."""
+    """Apply the SQL defaults to an existing session."""
     for key, value in SESSION_DEFAULTS.items():
         try:
             spark.conf.set(key, value)
         except Exception:  # static / locked confs on a shared session
             pass
-    try:
-        checkpoint_dir(spark)
-    except Exception:  # no local SparkContext (e.g. a remote session)
-        pass
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``
-    (or the directory already set on the SparkContext); only when neither is
-    set (tests, laptops) a fresh local folder is created."""
+    (or the directory already set on the SparkContext).  Where neither is
+    set, a ``local`` master gets a folder below the system's temporary one
+    and any other master an error: executors could not share a local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -102,23 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="cadence-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = os.path.join(tempfile.gettempdir(), "cadence-checkpoints")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate
-    tables (staging of upserts)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cadence-staging/{name}-{os.getpid()}-{next(_COUNTER)}"
-
-
-def _counter():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_COUNTER = _counter()

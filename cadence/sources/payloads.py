@@ -18,7 +18,7 @@ array leaves its column NULL).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.dates import epoch_ms_to_date
@@ -30,35 +30,69 @@ MARKET_ARRAYS = [("prices", "price_usd"), ("market_caps", "market_cap_usd"),
                  ("total_volumes", "volume_24h_usd")]
 
 
+def _parsed(payload: str, schema) -> Column:
+    """The document, or an error: malformed, truncated and missing documents
+    raise instead of becoming NULL."""
+    return F.from_json(_required(F.col(payload), "document"), schema, {"mode": "FAILFAST"})
+
+
+def _required(value: Column, what: str) -> Column:
+    return F.when(value.isNull(), F.raise_error(F.lit(f"landed payload: {what} is missing"))) \
+        .otherwise(value)
+
+
 # --------------------------------------------------------------------- macro
 def parse_macro_payload(df: DataFrame, payload: str = "payload",
-                        indicator: str = "indicator") -> DataFrame:
+                        indicator: str = "indicator", fetched: str | None = None) -> DataFrame:
     """Rows ``(indicator, payload text)`` -> ``(indicator, reference_date
-    text, valor double)``; the decimal comma is parsed strictly."""
-    items = df.select(F.col(indicator).alias("indicator"),
-                      F.explode(F.from_json(F.col(payload), MACRO_PAYLOAD)).alias("p"))
-    return items.select("indicator", F.col("p.data").alias("reference_date"),
-                        parse_decimal_comma(F.col("p.valor")).alias("valor"))
+    text, valor double)``; the decimal comma is parsed strictly and a
+    document that is no array of ``data``/``valor`` items raises.
+
+    ``fetched`` names a column that orders overlapping documents: an item is
+    dropped if a later document has the same indicator and day (items
+    repeated inside one document stay, for the duplicate rule)."""
+    order = F.col(fetched) if fetched else F.lit(0)
+    items = df.select(F.col(indicator).alias("indicator"), order.alias("_fetched"),
+                      F.explode(_parsed(payload, MACRO_PAYLOAD)).alias("p"))
+    rows = items.select("indicator", "_fetched",
+                        _required(F.col("p.data"), "data").alias("reference_date"),
+                        parse_decimal_comma(_required(F.col("p.valor"), "valor")).alias("valor"))
+    if fetched:
+        # one row per fetch of a day: bounded by the documents landed
+        latest = Window.partitionBy("indicator", "reference_date")
+        rows = rows.withColumn("_last", F.max("_fetched").over(latest)).where(
+            "_fetched = _last").drop("_last")
+    return rows.drop("_fetched")
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files with the order in which they were fetched."""
+    return spark.read.option("wholetext", True).text(path).select(
+        "*", F.unix_millis("_metadata.file_modification_time").alias("fetched")) \
+        .withColumnRenamed("value", "payload")
 
 
 def read_macro_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Landed macro files laid out as ``<path>/indicator=<name>/*.json``
-    (each file one JSON array); the indicator comes from the directory."""
-    text = spark.read.option("wholetext", True).text(path)
-    return parse_macro_payload(text.withColumnRenamed("value", "payload"))
+    (each file one JSON array); the indicator comes from the directory.
+    Where fetches overlap the file written later wins."""
+    return parse_macro_payload(_landed(spark, path), fetched="fetched")
 
 
 # -------------------------------------------------------------------- market
 _POINT = "struct<kind:int,pos:int,ms:double,value:double>"
 
 
-def market_points(df: DataFrame, payload: str = "payload", coin: str = "coin_id") -> DataFrame:
+def market_points(df: DataFrame, payload: str = "payload", coin: str = "coin_id",
+                  fetched: str | None = None) -> DataFrame:
     """Rows ``(coin, payload text)`` -> one row per array element:
-    ``(coin_id, kind, ms, pos, value)``; empty or missing arrays give none.
-    The document is parsed once and the three arrays are tagged and
+    ``(coin_id, fetched, kind, ms, pos, value)``; empty or missing arrays give
+    none, malformed documents raise.  ``fetched`` (0 without it) orders
+    overlapping documents, in epoch milliseconds.  The document is parsed once and the three arrays are tagged and
     concatenated before a single explode."""
-    parsed = df.select(F.col(coin).alias("coin_id"),
-                       F.from_json(F.col(payload), MARKET_PAYLOAD).alias("m"))
+    order = F.col(fetched) if fetched else F.lit(0)
+    parsed = df.select(F.col(coin).alias("coin_id"), order.cast("long").alias("fetched"),
+                       _parsed(payload, MARKET_PAYLOAD).alias("m"))
 
     def tagged(kind: int, field: str) -> Column:
         arr = F.transform(F.col(f"m.{field}"), lambda x, i: F.struct(
@@ -66,16 +100,19 @@ def market_points(df: DataFrame, payload: str = "payload", coin: str = "coin_id"
         return F.coalesce(arr, F.array().cast(f"array<{_POINT}>"))
 
     points = F.concat(*[tagged(k, field) for k, (field, _) in enumerate(MARKET_ARRAYS)])
-    return parsed.select("coin_id", F.inline(points))
+    return parsed.select("coin_id", "fetched", F.inline(points))
 
 
 def daily_market(points: DataFrame) -> DataFrame:
     """Last point of each UTC day per asset: the price with the greatest
-    ``(ms, position)``; cap and volume likewise from their own arrays.
-    Days without any price point are dropped."""
+    ``(fetched, ms, position)``; cap and volume likewise from their own
+    arrays.  Days without any price point are dropped."""
     day = epoch_ms_to_date("ms")
-    # (ms, position) packed into one exact number: keeps the hash aggregate
-    order = packed_order(F.col("ms"), F.col("pos"), tie_digits=10)
+    # packed into one exact number, which keeps the hash aggregate: fetch,
+    # millisecond of the day, position
+    in_day = F.pmod(F.col("ms").cast("long"), F.lit(86_400_000).cast("long"))
+    order = packed_order(F.col("fetched"),
+                         in_day * F.lit(10 ** 9).cast("long") + F.col("pos"), tie_digits=18)
 
     def last_of(kind: int) -> Column:
         return F.max_by(F.col("value"), F.when(F.col("kind") == kind, order))
@@ -88,14 +125,14 @@ def daily_market(points: DataFrame) -> DataFrame:
 
 
 def parse_market_payload(df: DataFrame, payload: str = "payload",
-                         coin: str = "coin_id") -> DataFrame:
-    return daily_market(market_points(df, payload, coin))
+                         coin: str = "coin_id", fetched: str | None = None) -> DataFrame:
+    return daily_market(market_points(df, payload, coin, fetched))
 
 
 def read_market_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed market files laid out as ``<path>/coin_id=<asset>/*.json``."""
-    text = spark.read.option("wholetext", True).text(path)
-    return parse_market_payload(text.withColumnRenamed("value", "payload"))
+    """Landed market files laid out as ``<path>/coin_id=<asset>/*.json``;
+    where fetches overlap the file written later wins."""
+    return parse_market_payload(_landed(spark, path), fetched="fetched")
 
 
 # ----------------------------------------------------------------- encoders

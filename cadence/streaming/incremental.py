@@ -32,8 +32,9 @@ def _landed_files(spark: SparkSession, landing: str, key: str, max_files: int |
     reader = spark.readStream.option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(landing).select(_series_from_path(key).alias(key),
-                                       F.col("value").alias("payload"))
+    return reader.text(landing).select(
+        _series_from_path(key).alias(key), F.col("value").alias("payload"),
+        F.unix_millis("_metadata.file_modification_time").alias("fetched"))
 
 
 def start_macro_stream(spark: SparkSession, landing: str, paths: Paths, checkpoint: str,
@@ -44,7 +45,7 @@ def start_macro_stream(spark: SparkSession, landing: str, paths: Paths, checkpoi
     def each(batch: DataFrame, batch_id: int):
         if batch.isEmpty():
             return
-        load_macro(batch.sparkSession, parse_macro_payload(batch), paths,
+        load_macro(batch.sparkSession, parse_macro_payload(batch, fetched="fetched"), paths,
                    dag_id="stream_macro", task_id=f"batch_{batch_id}")
 
     w = _landed_files(spark, landing, "indicator", max_files).writeStream.foreachBatch(each)
@@ -61,7 +62,7 @@ def start_market_stream(spark: SparkSession, landing: str, paths: Paths, checkpo
     def each(batch: DataFrame, batch_id: int):
         if batch.isEmpty():
             return
-        daily = parse_market_payload(batch)
+        daily = parse_market_payload(batch, fetched="fetched")
         load_market(batch.sparkSession, daily, paths,
                     dag_id="stream_market", task_id=f"batch_{batch_id}")
 

@@ -99,17 +99,35 @@ def test_not_null_columns_are_enforced_at_store_time(spark, tmp_dir):
     assert ok.first().valor == Dec("5.12345679")
 
 
-def test_staging_is_removed_after_publish(spark, tmp_dir):
-    from cadence.session import checkpoint_dir
-    base = os.path.join(checkpoint_dir(spark).replace("file:", ""), "cadence-staging")
-    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+def test_staging_is_beside_the_table_and_removed(spark, tmp_dir):
     path = os.path.join(tmp_dir, "macro")
     keys = ["indicator", "reference_date"]
     rows = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.0"))], SCHEMA))
     upsert_table(spark, path, rows, keys, MACRO)
-    upsert_table(spark, path, rows, keys, MACRO)
-    after = set(os.listdir(base)) if os.path.isdir(base) else set()
-    assert after <= before
+    seen = []
+    upsert_table(spark, path, rows, keys, MACRO, check=lambda _: seen.extend(os.listdir(tmp_dir)))
+    assert any(x.startswith("_staging_macro_") for x in seen)
+    assert os.listdir(tmp_dir) == ["macro"]
+
+
+def test_merge_prunes_months_by_literals(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "macro")
+    keys = ["indicator", "reference_date"]
+    upsert_table(spark, path, _stamp(spark.createDataFrame(
+        [("dolar", D(2024 + m // 12, 1 + m % 12, 5), Dec("5.0")) for m in range(24)], SCHEMA)),
+        keys, MACRO)
+    from cadence.operators import upsert as U
+    plans, plain = [], U.upsert
+
+    def spy(current, *args):
+        plans.append(current._jdf.queryExecution().executedPlan().toString())
+        return plain(current, *args)
+
+    monkeypatch.setattr(U, "upsert", spy)
+    upsert_table(spark, path, _stamp(spark.createDataFrame(
+        [("dolar", D(2025, 3, 5), Dec("6.0"))], SCHEMA)), keys, MACRO)
+    assert "ref_month" in plans[0] and "2025-03" in plans[0].split("PartitionFilters")[1]
+    assert read_table(spark, path, MACRO).count() == 24
 
 
 def test_empty_batch_leaves_table_unchanged(spark, tmp_dir):
@@ -120,22 +138,3 @@ def test_empty_batch_leaves_table_unchanged(spark, tmp_dir):
     empty = _stamp(spark.createDataFrame([], SCHEMA))
     assert upsert_table(spark, path, empty, keys, MACRO) == 0
     assert rows_of(read_table(spark, path, MACRO)) == [("dolar", D(2026, 1, 5), Dec("5.0"))]
-
-
-def test_concurrent_change_is_detected(spark, tmp_dir):
-    from cadence.operators.upsert import ConcurrentUpdateError
-    path = os.path.join(tmp_dir, "macro")
-    keys = ["indicator", "reference_date"]
-    first = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 5), Dec("5.0"))], SCHEMA))
-    upsert_table(spark, path, first, keys, MACRO)
-    mine = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 6), Dec("5.1"))], SCHEMA))
-    other = _stamp(spark.createDataFrame([("dolar", D(2026, 1, 7), Dec("5.2"))], SCHEMA))
-
-    def someone_else_writes(_staged):        # runs between staging and publishing
-        upsert_table(spark, path, other, keys, MACRO)
-
-    with pytest.raises(ConcurrentUpdateError):
-        upsert_table(spark, path, mine, keys, MACRO, check=someone_else_writes)
-    # the other writer's rows survive; a retry then merges ours
-    assert upsert_table(spark, path, mine, keys, MACRO) == 1
-    assert [r[1].day for r in rows_of(read_table(spark, path, MACRO))] == [5, 6, 7]
