@@ -5,7 +5,7 @@ table (one row per asset and day).
         (one shuffle by asset; both windows share partitioning and order)
     distinct market days x indicators --as-of with earliest fallback--> macro
         (bucketed as-of, see ``operators.asof``) --pivot--> one row per day
-    facts LEFT JOIN macro-by-day (size-checked broadcast: one row per day)
+    facts LEFT JOIN macro-by-day (one row per day; AQE broadcasts it if small)
     -> BRL price, annualised policy rate, cast to the stored widths.
 
 Modes for ``start_date``:
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from cadence.functions.numeric import annualize_rate, store_cast
 from cadence.operators.asof import asof_join
-from cadence.operators.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from cadence.operators.reshape import long_to_wide
 from cadence.operators.upsert import since
 from cadence.operators.windows import (bucketed_series, pct_change, rolling_stddev,
@@ -133,20 +132,16 @@ def macro_by_day(days: DataFrame, macro: DataFrame, indicators=None,
 
 
 def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
-                mode: str = "reference", created_at=None, series_bucket: str | None = None,
-                broadcast: str = "adaptive",
-                broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                mode: str = "reference", created_at=None, series_bucket: str | None = None
+                ) -> DataFrame:
     """The daily fact table (stored column types, ``created_at`` one
     timestamp for the whole batch).
 
-    ``broadcast``: ``"adaptive"`` leaves the fact/macro join to AQE, which
-    broadcasts the macro-by-day side only when its measured size is under
-    the adaptive threshold (else sort-merge); ``"checked"`` persists and
-    counts that side and hints it when within ``broadcast_max_rows``.
-    ``series_bucket`` selects bucketed per-asset windows (see
-    :func:`market_metrics`).  The
-    side has one row per distinct fact day, so it is bounded by the
-    calendar, not by the number of assets or raw points."""
+    The fact/macro join is left to AQE, which broadcasts the macro-by-day
+    side (one row per distinct fact day) only when its measured size is under
+    its threshold.  ``series_bucket`` selects bucketed per-asset windows (see
+    :func:`market_metrics`).
+    """
     if mode not in ("reference", "lookback"):
         raise ValueError("mode must be 'reference' or 'lookback'")
     base = market
@@ -163,8 +158,6 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
 
     days = facts.select("reference_date").distinct()
     by_day = macro_by_day(days, macro)
-    if broadcast == "checked":
-        by_day = bounded_broadcast(by_day, broadcast_max_rows)
     joined = facts.join(by_day, "reference_date", "left")
 
     stamp = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")

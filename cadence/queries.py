@@ -147,7 +147,7 @@ def q_transform_market(spark, sf_dir):
         CAST(price_usd AS DOUBLE) AS price_usd,
         CAST(pct_change_1d AS DOUBLE) AS pct_change_1d,
         CAST(volatility_7d AS DOUBLE) AS volatility_7d
- FROM crypto_with_vol""")
+ FROM series""")
 def q_market_metrics(spark, sf_dir):
     """W1 previous row, W2 rounded change, W4 rolling deviation of the
     rounded change."""

@@ -102,15 +102,6 @@ def test_start_date_reference_vs_lookback(spark):
         assert look[d].volatility_7d == full[d].volatility_7d
 
 
-def test_checked_broadcast_mode_gives_same_rows(spark):
-    m = market_df(spark, {"bitcoin": PRICES})
-    a = sorted(map(tuple, consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01")
-                   .collect()))
-    b = sorted(map(tuple, consolidate(m, macro_df(spark, MACRO), created_at="2026-01-01",
-                                      broadcast="checked").collect()))
-    assert a == b
-
-
 def test_zero_previous_price_raises_in_exact_mode(spark):
     m = market_df(spark, {"x": [0, 10]})
     with pytest.raises(Exception):
