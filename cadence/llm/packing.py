@@ -21,115 +21,154 @@ length that a third of all pieces share is not gathered anywhere.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadence.llm.common import col, materialise, ship
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 500_000   # remembered words of a task
+CACHE_PIECES = 1_000_000   # remembered pieces of a task
+SLICE_BYTES = 8_000_000    # texts encoded at once
 
 ship(__name__)
 
 
 # ---------------------------------------------------------------- tokens
-class WordEncoder:
-    """Token ids of texts, word by word.
+class TextEncoder:
+    """Token ids of texts, piece by piece.
 
-    The tokenizer never joins across white space, so a text's ids are those
-    of its white-space-separated parts.  A Latin-1 part is cut further into
-    the tokenizer's own pieces (lower case; letters, single digits, other
-    characters, English endings); parts with other characters are encoded
-    whole.  Each distinct part and piece is encoded once per cache life, many
-    pieces in one call."""
+    The tokenizer cuts lower-cased text into pieces (letters, single digits,
+    other characters, English endings) and never joins across them or across
+    white space.  Texts of Latin-1 characters are cut into the same pieces by
+    Arrow string functions, many texts at once; each distinct piece is
+    encoded once per cache life, many pieces in one call.  Texts with other
+    characters or special tokens go to the tokenizer whole."""
 
-    PLAIN = re.compile(r"[!-~\xa1-\xff]+")
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]"
-                        r"|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+")
+    OTHER = r"[^\t-\r -~\x{a1}-\x{ff}]|<\|"
+    PIECE = (r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]"
+             r"|[^\t-\r a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+")
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        parts = text.encode("utf-8", "replace").split()
-        known = self.parts
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            self._learn({p for p in parts if p not in known}, parts)
-        return b"".join([self.parts[p] for p in parts])
-
-    def _learn(self, new: set[bytes], parts: list[bytes]) -> None:
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-            self.pieces.clear()
-            new = set(parts)
-        cuts, whole = {}, []
-        for part in new:
-            word = part.decode()
-            if self.PLAIN.fullmatch(word) and "<|" not in word:
-                cuts[part] = self.PIECES.findall(word.lower())
-            else:
-                whole.append(part)
-        pieces = list({p for cut in cuts.values() for p in cut if p not in self.pieces})
-        for at in range(0, len(pieces), 500):
-            self._learn_pieces(pieces[at: at + 500])
-        for part, cut in cuts.items():
-            self.parts[part] = b"".join([self.pieces[p] for p in cut])
-        for part, code in zip(whole, self._batch([p.decode() for p in whole]), strict=True):
-            self.parts[part] = code
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}          # piece -> its row in the three below
+        self.starts = np.zeros(1, dtype=np.int64)
+        self.sizes = np.zeros(1, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Little-endian unsigned 32-bit ids of each text; NULL has none."""
+        texts = pc.fill_null(texts, "")
+        other = pc.match_substring_regex(texts, self.OTHER).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        own = np.flatnonzero(~other)
+        for i, ids in zip(own.tolist(), self._encode_plain(texts.take(pa.array(own))),
+                          strict=True):
+            out[i] = ids
+        for i in np.flatnonzero(other).tolist():
+            out[i] = self._whole([texts[i].as_py()])[0]
+        return out
+
+    def _encode_plain(self, texts: pa.Array) -> list[np.ndarray]:
+        cut = pc.replace_substring_regex(pc.utf8_lower(texts), self.PIECE, r"\0 ")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(cut))
+        coded = lists.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(self.known) > CACHE_PIECES:
+            self.forget()
+        self._learn([p for p in names if p not in self.known])
+        row = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        row = row[coded.indices.to_numpy()]
+        sizes = self.sizes[row]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.starts[row] - (ends - sizes), sizes) + np.arange(total)]
+        # text boundaries in pieces, then in ids
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else [0]
+        bounds = np.concatenate([[0], ends])[bounds].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         codes = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, dtype="<u4").tobytes() for c in codes]
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        code = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids, owners = np.array(code.ids, dtype="<u4"), np.array(code.word_ids, dtype=np.int64)
-        starts = np.flatnonzero(np.diff(owners, prepend=-1))
-        if len(starts) == len(pieces):       # one pre-token per piece
-            ends = [*starts[1:].tolist(), len(ids)]
-            raw = ids.tobytes()
-            self.pieces.update((p, raw[4 * s: 4 * e]) for p, s, e in
-                               zip(pieces, starts.tolist(), ends, strict=True))
-        else:
-            self.pieces.update(zip(pieces, self._batch(pieces), strict=True))
+        return [np.array(c.ids, dtype="<u4") for c in codes]
+
+    def _learn(self, new: list[str]) -> None:
+        if not new:
+            return
+        ids, sizes = [], []
+        for at in range(0, len(new), 500):
+            batch = new[at: at + 500]
+            code = self.tokenizer.encode(" ".join(batch), add_special_tokens=False)
+            found = np.array(code.ids, dtype="<u4")
+            count = np.bincount(np.array(code.word_ids, dtype=np.int64), minlength=len(batch))
+            if len(count) != len(batch) or not count.all():      # not one pre-token per piece
+                each = self._whole(batch)
+                found, count = np.concatenate(each), np.array([len(x) for x in each])
+            ids.append(found)
+            sizes.append(count)
+        sizes = np.concatenate(sizes)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)),
+                              strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, *ids])
+
+
+def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes of text, or of one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield first, last
+        first = last
 
 
 def pieces(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``key, piece, start, length, ids_crc32`` of every piece."""
     end = np.array([end_id], dtype="<u4").tobytes()
-    step = 4 * capacity
+    docs = docs.select(col(key).alias("key"), col(text).cast("string").alias("text"))
 
-    @F.pandas_udf("array<struct<start:bigint,length:bigint,ids_crc32:bigint>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = WordEncoder(tokenizer)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TextEncoder(tokenizer)
         for batch in batches:
-            out = []
-            for t in batch:
-                ids = (encoder.encode(t) if t else b"") + end
-                out.append([{"start": at // 4, "length": min(step, len(ids) - at) // 4,
-                             "ids_crc32": zlib.crc32(ids[at: at + step])}
-                            for at in range(0, len(ids), step)])
-            yield pd.Series(out)
-
-    cuts = docs.select(col(key).alias("key"), cut(col(text)).alias("cuts"))
-    return cuts.select("key", F.posexplode("cuts").alias("piece", "x")).select(
-        "key", "piece", "x.start", "x.length", "x.ids_crc32")
+            keys, texts = batch.column(0), batch.column(1)
+            for first, last in slices(texts, SLICE_BYTES):
+                rows: list[tuple[int, int, int, int, int]] = []
+                for row, ids in enumerate(encoder.encode(texts.slice(first, last - first))):
+                    # the end id closes the last piece
+                    for n, at in enumerate(range(0, len(ids) + 1, capacity)):
+                        part = ids[at: at + capacity]
+                        crc = zlib.crc32(part)
+                        if len(part) < capacity:
+                            crc = zlib.crc32(end, crc)
+                        rows.append((row, n, at, min(capacity, len(ids) + 1 - at), crc))
+                owner, piece, start, length, crc = np.array(rows, dtype=np.int64).T
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(first + owner)), pa.array(piece.astype(np.int32)),
+                     pa.array(start), pa.array(length), pa.array(crc)],
+                    ["key", "piece", "start", "length", "ids_crc32"])
+
+    schema = T.StructType([docs.schema["key"], T.StructField("piece", T.IntegerType()),
+                           *(T.StructField(c, T.LongType())
+                             for c in ("start", "length", "ids_crc32"))])
+    return docs.mapInArrow(cut, schema)
 
 
 # ---------------------------------------------------------------- plan

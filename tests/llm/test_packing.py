@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -89,13 +90,23 @@ def test_least_squares_is_non_negative_and_close():
     assert (x >= 0).all() and np.allclose(x, [3, 2, 1], atol=0.05)
 
 
-def test_word_encoder_equals_the_tokenizer(monkeypatch):
+def test_encoder_equals_the_tokenizer(monkeypatch):
     tokenizer = Tokenizer.from_file(PATH)
     rng = random.Random(7)
-    alphabet = [chr(c) for c in range(33, 0x180)] + list("'stdmrevl''  \n\t_<|>İΣς́\xa0…日🙂")
-    monkeypatch.setattr(P, "CACHE_WORDS", 200)
-    encoder = P.WordEncoder(PATH)
-    for _ in range(400):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(60)))
-        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        assert encoder.encode(text) == want.tobytes(), text
+    latin = [chr(c) for c in range(33, 256)] + list("'stdmrevl''  \n\t")
+    mixed = [chr(c) for c in range(0x180)] + list("_<|>İΣς́\xa0…日🙂")
+    monkeypatch.setattr(P, "CACHE_PIECES", 2000)
+    encoder = P.TextEncoder(PATH)
+    for _ in range(20):
+        texts = [None, "", " \n", "it's WE'LL ''s", *(
+            "".join(rng.choice(alphabet) for _ in range(rng.randrange(60)))
+            for alphabet in (latin, mixed) for _ in range(40))]
+        for text, ids in zip(texts, encoder.encode(pa.array(texts, pa.string())), strict=True):
+            want = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert ids.tolist() == want, text
+
+
+def test_slices_cover_all_rows():
+    texts = pa.array(["x" * n for n in (3, 3, 3, 20, 0, 1)] + [None, "x" * 9])
+    assert list(P.slices(texts, 8)) == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+    assert list(P.slices(texts[:0], 8)) == []
