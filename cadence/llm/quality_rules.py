@@ -27,6 +27,7 @@ MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 20
 HOST_SHARE = 0.05
 KEPT_SHARE = 0.3
+HEAVY_ROWS = 200_000   # heavy lines are broadcast up to this many (under 50 bytes each)
 SYMBOLS = r"[#*$%&|<>]"
 
 _SHORT = 20   # bits of a position in texts of up to 2^20 words
@@ -102,24 +103,56 @@ def heavy_lines(docs: DataFrame, text: str, host: str, rid: str) -> tuple[DataFr
     return lines, materialise(heavy.select("host", "line", F.col("first.doc").alias("holder")))
 
 
-def _removed(docs: DataFrame, text: str, host: str, rid: str) -> DataFrame:
-    """``rid, removed_words, removed`` (hashes of the lines that go)."""
-    lines, heavy = heavy_lines(docs, text, host, rid)
-    gone = lines.join(heavy, ["host", "line"]).where("doc <> holder")
-    return gone.groupBy("rid").agg(F.sum("words").cast("long").alias("removed_words"),
-                                   F.collect_list("line").alias("removed"))
+def _with_own_lines(docs: DataFrame) -> DataFrame:
+    """Adds ``own``: hashes of the lines that go from the row (may be NULL).
+
+    A heavy line is in over ``HOST_SHARE`` of its host's documents, so a host
+    has at most ``1 / HOST_SHARE`` times as many as a document has lines, at
+    any size of the corpus.  Up to ``HEAVY_ROWS`` of them, counted, are
+    broadcast and the documents stay where they are; beyond, rows fetch their
+    lines by a shuffle join."""
+    lines, heavy = heavy_lines(docs, "text", "host", "rid")
+    if heavy.count() > HEAVY_ROWS:
+        gone = lines.join(heavy, ["host", "line"]).where("doc <> holder")
+        return docs.join(gone.groupBy("rid").agg(F.collect_list("line").alias("own")),
+                         "rid", "left")
+    by_host = heavy.groupBy(F.col("host").alias("heavy_host")).agg(
+        F.collect_list(F.struct("line", "holder")).alias("heavy"))
+    joined = docs.join(F.broadcast(by_host),
+                       F.coalesce("host", F.lit("")) == F.col("heavy_host"), "left")
+    others = F.filter("heavy", lambda x: x["holder"] != F.xxhash64("text"))
+    return joined.withColumn("own", F.transform(others, lambda x: x["line"])).drop(
+        "heavy_host", "heavy")
+
+
+def _with_removals(docs: DataFrame) -> DataFrame:
+    """Adds ``removed_words`` and ``clean``, the text without its own heavy
+    lines.  What lambdas index is a column of its own, computed once."""
+    split = (_with_own_lines(docs)
+             .withColumn("parts", F.when(F.size("own") > 0, F.split("text", "\n")))
+             .withColumn("hashes", F.transform("parts", lambda x: F.xxhash64(_line(x)))))
+
+    def goes(i: Column) -> Column:
+        return F.array_contains("own", F.get("hashes", i))
+
+    removed = F.aggregate(F.filter("parts", lambda x, i: goes(i)), F.lit(0).cast("long"),
+                          lambda total, x: total + F.size(words(x)))
+    rest = F.array_join(F.filter("parts", lambda x, i: ~goes(i)), "\n")
+    return (split.withColumn("removed_words", F.coalesce(removed, F.lit(0).cast("long")))
+            .withColumn("clean", F.coalesce(rest, "text")).drop("own", "parts", "hashes"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """``rid, key`` and the base counts of ``docs`` (``rid, key, text``)."""
+    """``row, clean, removed_words`` and the base counts of ``docs``."""
     body = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    split = docs.select("rid", "key", words(F.col("text")).alias("w"), lines.alias("lines"),
+    split = docs.select("row", "clean", "removed_words", words(F.col("text")).alias("w"),
+                        lines.alias("lines"),
                         F.length(F.regexp_replace(body, r"[\x20\x09-\x0D]+", "")).cast("long")
                         .alias("word_chars"),
                         F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
     return with_repeated_words(split, "w", "n_repeat_words").select(
-        "rid", "key", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "row", "clean", "removed_words", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words")
 
@@ -133,14 +166,14 @@ def _depleted() -> Column:
     return F.col("n_words") - F.col("removed_words") < KEPT_SHARE * F.col("n_words")
 
 
-def _verdicts(docs: DataFrame) -> DataFrame:
-    """``rid, key``, counts, ``base_failed``, ``removed_words``, ``removed``
-    and ``kept`` of ``docs`` (``rid, key, text, host``)."""
-    removed = _removed(docs, "text", "host", "rid")
-    both = _counted(docs.select("rid", "key", "text")).join(removed, "rid", "left").withColumn(
-        "removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
-    return both.select("*", _base_failed().alias("base_failed"),
-                       (~_base_failed() & ~_depleted()).alias("kept"))
+def _verdicts(docs: DataFrame, text: str, host: str, row: Column) -> DataFrame:
+    """``row``, the counts, ``removed_words``, ``clean``, ``base_failed`` and
+    ``kept`` of every row of ``docs``."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row"),
+                           col(text).alias("text"), col(host).alias("host"))
+    return _counted(_with_removals(numbered)).select(
+        "*", _base_failed().alias("base_failed"),
+        (~_base_failed() & ~_depleted()).alias("kept"))
 
 
 def assess(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id"
@@ -149,24 +182,20 @@ def assess(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     ``base_failed``, ``removed_words``, ``kept``.  A NULL text has no word
     and fails; NULL hosts are one host; repeated rows stay and are one
     document to the line frequency.  An empty table gives an empty result."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), col(key).alias("key"),
-                           col(text).alias("text"), col(host).alias("host"))
-    return _verdicts(numbered).select(
-        F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    return _verdicts(docs, text, host, F.struct(col(key).alias("key"))).select(
+        F.col("row.key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "removed_words", "kept")
 
 
 def filter_documents(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, without the lines above the limits.  Columns
     are those of ``docs`` (a stored table)."""
-    rid, gone = fresh(docs, "rid", "gone")
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
-    # written first: a filter on it would otherwise repeat the counting per lambda call
-    kept = materialise(_verdicts(numbered.select(
-        col(rid).alias("rid"), F.lit(None).cast("int").alias("key"), col(text).alias("text"),
-        col(host).alias("host"))).select("rid", "removed", "kept")).where("kept")
-    joined = numbered.join(kept.select(F.col("rid").alias(rid), F.col("removed").alias(gone)), rid)
-    rest = F.array_join(F.filter(F.split(col(text), "\n"), lambda x: ~F.array_contains(
-        col(gone), F.xxhash64(_line(x)))), "\n")
-    clean = F.when(col(gone).isNull(), col(text)).otherwise(rest)
-    return joined.select(*(clean.alias(c) if c == text else col(c) for c in docs.columns))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    row = F.struct(*(col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)
+                     if c != text))
+    judged = _verdicts(docs, text, host, row)
+    # a generator, since a filter would be pushed down and repeat the counting
+    one = judged.select(F.explode_outer(F.when(F.col("kept"), F.array(
+        F.struct("row", "clean")))).alias("x")).where("x IS NOT NULL")
+    return one.select(*((F.col("x.clean") if c == text else F.col(f"x.row.{n}")).alias(c)
+                        for c, n in zip(docs.columns, names, strict=True)))

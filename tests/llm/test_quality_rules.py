@@ -3,6 +3,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from cadence.llm import quality_rules as Q
 from cadence.llm.queries import QUERIES
 from tests.llm.fixtures import SF, corpus, frame, stored
@@ -59,7 +61,9 @@ def test_query(spark):
     compare(QUERIES["op9_quality_rules"](spark, SF).collect(), [tuple(r) for r in docs.collect()])
 
 
-def test_frequent_lines_and_edges(spark, tmp_dir):
+@pytest.mark.parametrize("heavy_rows", [Q.HEAVY_ROWS, 0])      # broadcast, shuffled
+def test_frequent_lines_and_edges(spark, tmp_dir, monkeypatch, heavy_rows):
+    monkeypatch.setattr(Q, "HEAVY_ROWS", heavy_rows)
     texts = corpus()
     texts += ["Shared  header of the host\n" + " ".join(f"d{k}w{j}" for j in range(60))
               for k in range(90)]
