@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cadence import sql_fragments as S
 from cadence.catalog import normalize, register
 from cadence.operators import quality as Q
 from cadence.operators.reshape import long_to_wide
-from cadence.operators.upsert import upsert
+from cadence.operators.upsert import conform, market_batch_clean, read_table, upsert, upsert_table
 from cadence.plans import consolidate as C
 from cadence.plans import reports as R
 from cadence.plans import transforms as T
+from cadence.schemas import KEYS, MARKET
+from cadence.session import checkpoint_dir
 from cadence.sources import payloads as P
 from cadence.sources import testdata as td
 
@@ -222,6 +227,58 @@ def q_upsert_market(spark, sf_dir):
     return normalize(out)
 
 
+# ============================================================== loads and tables
+@register("landing_overlap", S.with_ctes(S.MARKET, S.MACRO, S.MACRO_TARGET_BATCH) + """
+ SELECT m.indicator, strftime(m.reference_date, '%d/%m/%Y') AS reference_date,
+        CAST(COALESCE(later.valor, m.valor) AS DOUBLE) AS valor
+ FROM macro m LEFT JOIN (SELECT * FROM macro_batch WHERE batch_seq = 1) later
+   USING (indicator, reference_date)""")
+def q_landing_overlap(spark, sf_dir):
+    """S1 over two overlapping fetches: the later document wins a day."""
+    corrected = td.macro_batch(spark, sf_dir).where("batch_seq = 1").drop("batch_seq")
+    fetches = [P.encode_macro_payloads(rows).withColumn("fetched", F.lit(n))
+               for n, rows in enumerate([td.macro(spark, sf_dir), corrected])]
+    return P.parse_macro_payload(fetches[0].unionByName(fetches[1]), fetched="fetched")
+
+
+@register("clean_market", S.with_ctes(S.MARKET) + """
+ SELECT coin_id, strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(price_usd AS DOUBLE) AS price_usd, CAST(market_cap_usd AS DOUBLE) AS market_cap_usd,
+        CASE WHEN day(reference_date) <> 17 THEN CAST(volume_24h_usd AS DOUBLE) END
+          AS volume_24h_usd
+ FROM market WHERE day(reference_date) <> 13""")
+def q_clean_market(spark, sf_dir):
+    """P4 text time to day, F2 rows without a price dropped, P9 NaN to NULL."""
+    dom = F.dayofmonth("reference_date")
+    landed = td.market(spark, sf_dir).select(
+        "coin_id", F.date_format("reference_date", "yyyy-MM-dd 12:30:00").alias("reference_date"),
+        F.when(dom != 13, F.col("price_usd").cast("double")).alias("price_usd"),
+        F.col("market_cap_usd").cast("double").alias("market_cap_usd"),
+        F.when(dom == 17, F.lit(float("nan"))).otherwise(F.col("volume_24h_usd").cast("double"))
+        .alias("volume_24h_usd"))
+    return normalize(market_batch_clean(T.clean_market(landed)))
+
+
+@register("stored_market", S.with_ctes(S.MARKET, S.MARKET_TARGET_BATCH) + """,
+ merged AS (""" + S.upsert_sql("market_target", "market_batch", "coin_id, reference_date",
+                               _MARKET_COLS, "batch_seq") + f""")
+ SELECT coin_id, strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(price_usd AS DOUBLE) AS price_usd, CAST(market_cap_usd AS DOUBLE) AS market_cap_usd,
+        CAST(volume_24h_usd AS DOUBLE) AS volume_24h_usd,
+        '{CREATED_AT}.000000' AS ingested_at
+ FROM merged""")
+def q_stored_market(spark, sf_dir):
+    """A first load and a merge written as a month-partitioned
+    table with the stored schema, read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-market-{uuid.uuid4().hex}/crypto_market"
+    sequence = StructField("batch_seq", IntegerType())
+    for rows, order in ((td.target(spark, sf_dir).withColumn("batch_seq", F.lit(0)), None),
+                        (td.batch(spark, sf_dir), ["batch_seq"])):
+        stamped = conform(rows, StructType([*MARKET.fields, sequence]), "ingested_at", CREATED_AT)
+        upsert_table(spark, path, stamped, KEYS["crypto_market"], MARKET, batch_order=order)
+    return normalize(read_table(spark, path, MARKET))
+
+
 @register("upsert_macro", S.with_ctes(S.MARKET, S.MACRO, S.MACRO_TARGET_BATCH) + """,
  merged AS (""" + S.upsert_sql("macro_target", "macro_batch", "indicator, reference_date",
                                "indicator, reference_date, valor", "batch_seq") + """)
