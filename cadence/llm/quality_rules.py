@@ -151,10 +151,12 @@ def _counted(docs: DataFrame) -> DataFrame:
                         F.length(F.regexp_replace(body, r"[\x20\x09-\x0D]+", "")).cast("long")
                         .alias("word_chars"),
                         F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
-    return with_repeated_words(split, "w", "n_repeat_words").select(
-        "row", "clean", "removed_words", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
+    # through a generator: verdicts name the counts often, which would repeat the counting
+    return with_repeated_words(split, "w", "n_repeat_words").select(F.inline(F.array(F.struct(
+        "row", "clean", "removed_words", F.size("w").cast("long").alias("n_words"), "word_chars",
+        "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words")
+        "n_repeat_words"))))
 
 
 def _base_failed() -> Column:
