@@ -4,9 +4,9 @@ Document rules need at least ``MIN_WORDS`` words, of which at most half lie
 in repeated three-word windows.
 
 Line frequency: lines are normalised (lower case, single blanks, trimmed) and
-hashed.  A line found in more than ``MIN_DOCS`` distinct documents of a host
-and in more than ``HOST_SHARE`` of the host's distinct documents is removed
-from all of them but the first that has it.  Equal texts are one document,
+hashed.  A line found in more than ``MIN_DOCS`` distinct documents of a host,
+however large the host, is removed from all of them but the first that has
+it.  Equal texts are one document,
 so copies do not make their own lines frequent.  A document that keeps less
 than ``KEPT_SHARE`` of its words is depleted and rejected.
 
@@ -25,9 +25,10 @@ from cadence.llm.common import SPACES, col, fresh, materialise, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 20
-HOST_SHARE = 0.05
+HOST_SHARE = 0.0       # no share of the host: a line's verdict does not depend on its size
 KEPT_SHARE = 0.3
 HEAVY_ROWS = 200_000   # heavy lines are broadcast up to this many (under 50 bytes each)
+HOST_ROWS = 2_000      # and up to this many of one host, since each row looks through them
 SYMBOLS = r"[#*$%&|<>]"
 
 _SHORT = 20   # bits of a position in texts of up to 2^20 words
@@ -92,27 +93,25 @@ def heavy_lines(docs: DataFrame, text: str, host: str, rid: str) -> tuple[DataFr
                     F.xxhash64(col(text)).alias("doc"), F.explode(each).alias("x"))
         .select("rid", "host", "doc", "x.line", "x.words")
         .groupBy("rid", "host", "doc", "line").agg(F.sum("words").alias("words")))
-    texts = lines.groupBy("host", "doc").agg(F.lit(1).alias("one"))
-    hosts = texts.groupBy("host").agg(F.count("*").alias("texts"))
     held = lines.groupBy("host", "line", "doc").agg(F.min("rid").alias("rid"))
     # the smallest row number decides which text keeps the line
     counted = held.groupBy("host", "line").agg(
         F.count("*").alias("n"), F.min(F.struct("rid", "doc")).alias("first"))
-    heavy = counted.where(F.col("n") > MIN_DOCS).join(hosts, "host").where(
-        F.col("n") > F.col("texts") * HOST_SHARE)
+    heavy = counted.where(F.col("n") > MIN_DOCS)
     return lines, materialise(heavy.select("host", "line", F.col("first.doc").alias("holder")))
 
 
 def _with_own_lines(docs: DataFrame) -> DataFrame:
     """Adds ``own``: hashes of the lines that go from the row (may be NULL).
 
-    A heavy line is in over ``HOST_SHARE`` of its host's documents, so a host
-    has at most ``1 / HOST_SHARE`` times as many as a document has lines, at
-    any size of the corpus.  Up to ``HEAVY_ROWS`` of them, counted, are
-    broadcast and the documents stay where they are; beyond, rows fetch their
-    lines by a shuffle join."""
+    Up to ``HEAVY_ROWS`` heavy lines, and ``HOST_ROWS`` of any one host, both
+    counted, are broadcast and the documents stay where they are; beyond, rows
+    fetch their lines by a shuffle join."""
     lines, heavy = heavy_lines(docs, "text", "host", "rid")
-    if heavy.count() > HEAVY_ROWS:
+    most = heavy.groupBy("host").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("host")).first()
+    if most["all"] > HEAVY_ROWS or most["host"] > HOST_ROWS:
         gone = lines.join(heavy, ["host", "line"]).where("doc <> holder")
         return docs.join(gone.groupBy("rid").agg(F.collect_list("line").alias("own")),
                          "rid", "left")

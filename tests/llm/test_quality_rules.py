@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadence.llm import quality_rules as Q
 from cadence.llm.queries import QUERIES
@@ -88,3 +89,13 @@ def test_long_text_uses_wide_positions(spark, monkeypatch):
     words = [f"w{i % 97}" for i in range(300)]
     df = spark.createDataFrame([(words,)], "w array<string>")
     assert Q.with_repeated_words(df, "w", "n").first()["n"] == repeated(words)
+
+
+def test_shared_passage_on_a_large_host(spark, tmp_dir):
+    """The same 30 documents share a passage on a host of 40 and of 3,000."""
+    for size in (40, 3000):
+        texts = [f"own line {k}\n" + ("the shared passage\n" if k < 30 else "") + "end " + str(k)
+                 for k in range(size)]
+        docs = stored(spark, texts, tmp_dir, f"host{size}").withColumn("source", F.lit("one"))
+        found = Q.assess(docs).collect()
+        assert sum(r["removed_words"] == 3 for r in found) == 29, size
