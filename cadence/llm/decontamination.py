@@ -3,10 +3,13 @@
 Texts are canonicalised into templates: numbers, names (capitalised words
 inside a sentence) and units (after a number) become typed placeholders.
 Windows of ``WINDOW`` template tokens are hashed and joined by hash.  A
-document is contaminated by an item if, along one alignment (diagonal), it
-shares at least ``COVERAGE`` of the item's windows and the slots agree: a
-benchmark value stands for one document value throughout (renamed or
-renumbered questions are caught, unrelated texts of the same shape are not).
+document is contaminated by an item if, in one place, it shares at least
+``COVERAGE`` of the item's windows and the slots agree: a benchmark value
+stands for one document value throughout (renamed or renumbered questions are
+caught, unrelated texts of the same shape are not).  A place is one alignment
+(diagonal) or the neighbouring ones, up to ``SLACK`` apart, into which
+inserted and dropped words split a copy; there an item window counts once, by
+its match on the diagonal with the most.
 
 The benchmark's windows are counted; up to ``BROADCAST_ROWS`` they are
 broadcast, so documents are not shuffled; beyond that the join shuffles.
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from cadence.llm.common import col, fresh, materialise, maybe_broadcast
 
 WINDOW = 5
-COVERAGE = 0.8
+COVERAGE = 0.5
+SLACK = 8                    # net words inserted or dropped inside a copy
 BROADCAST_ROWS = 1_000_000   # 40 bytes each
 # Units that may follow a number.
 UNITS = ("km|m|cm|mm|mi|ft|kg|g|mg|lb|lbs|oz|l|ml|s|sec|min|h|hr|hrs|hours?|days?|weeks?|months?|"
@@ -97,12 +101,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", rid
         .join(maybe_broadcast(probe, n, BROADCAST_ROWS), "window")
         .select("rid", "variant", "item", (F.col("at") - F.col("item_at")).alias("diagonal"),
                 "item_at", "head", "tail", "item_head", "item_tail"))
-    runs = (hits.groupBy("rid", "variant", "item", "diagonal").agg(F.count("*").alias("shared"))
+    aligned = _placed(hits)
+    on = ["rid", "variant", "kind", "place"]
+    runs = (aligned.groupBy(*on, "item").agg(F.count("*").alias("shared"))
             .join(maybe_broadcast(sizes, n, BROADCAST_ROWS), "variant")
             .where(F.col("shared") >= F.col("size") * COVERAGE))
     runs = materialise(runs)
-    on = ["rid", "variant", "diagonal"]
-    both = hits.join(runs.select(*on), on)
+    both = aligned.join(runs.select(*on), on)
     slots = (both.select(*on, F.col("item_head").alias("old"), F.col("head").alias("new"))
              .unionByName(both.select(*on, F.col("item_tail").alias("old"),
                                       F.col("tail").alias("new")))
@@ -113,6 +118,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", rid
             .groupBy("rid", "item").agg(F.max(F.col("shared") / F.col("size")).alias("coverage")))
 
 
+def _placed(hits: DataFrame) -> DataFrame:
+    """``hits`` with ``kind, place``: every hit in its diagonal (kind 0) and,
+    where several diagonals fall together, in the two overlapping stretches of
+    ``2 * SLACK`` diagonals that hold it (kind 1), so that any diagonals up to
+    ``SLACK`` apart share a stretch.  There an item window has one hit."""
+    same = ["rid", "variant", "item"]
+    alone = hits.withColumn("kind", F.lit(0)).withColumn("place", F.col("diagonal").cast("long"))
+    diagonals = hits.groupBy(*same, "diagonal").agg(F.count("*").alias("n"))
+    step = F.floor(F.col("diagonal") / SLACK)
+    stretches = diagonals.select(*same, "diagonal", "n",
+                                 F.explode(F.array(step, step - 1)).alias("place"))
+    # a stretch of one diagonal says no more than the diagonal
+    mixed = (stretches.groupBy("rid", "variant", "place").agg(F.count("*").alias("m"))
+             .where("m > 1").drop("m"))
+    wide = stretches.join(mixed, ["rid", "variant", "place"])
+    values = ["head", "tail", "item_head", "item_tail", "diagonal"]
+    best = (hits.join(wide.drop("item"), ["rid", "variant", "diagonal"])
+            .groupBy(*same, "place", "item_at")
+            .agg(F.max_by(F.struct(*values), F.struct("n", "diagonal")).alias("x")))
+    return alone.unionByName(best.select(*same, *(f"x.{v}" for v in values), "item_at",
+                                         F.lit(1).alias("kind"), "place"))
+
+
 def flag_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       item: str = "item_id") -> DataFrame:
     """``docs`` (a stored table) with ``contaminated``, ``n_items``,

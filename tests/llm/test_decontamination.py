@@ -65,3 +65,15 @@ def test_empty_tables(spark, tmp_dir):
     assert D.flag_contaminated(docs, none).where("contaminated").count() == 0
     assert D.remove_contaminated(docs, none).count() == 3
     assert D.flag_contaminated(frame(spark, []), bench(spark, [ITEM])).count() == 0
+
+
+def test_edited_copies(spark, tmp_dir):
+    """Words inserted, dropped or replaced split the alignment."""
+    words = ITEM.split()
+    middle = len(words) // 2
+    copies = [words[:middle] + ["really"] + words[middle:], words[:middle] + words[middle + 1:],
+              [*words[:9], "oranges", *words[10:13], "some", *words[14:]],
+              words[:8] + ["very"] + words[8:20] + ["quite"] + words[20:]]
+    texts = ["n1 n2 n3. " + " ".join(c) + " n4 n5" for c in copies]
+    rows = D.flag_contaminated(stored(spark, texts, tmp_dir), bench(spark, [ITEM])).collect()
+    assert [r["contaminated"] for r in sorted(rows)] == [True] * len(texts)
