@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
 Texts are canonicalised into templates: numbers, names (capitalised words
-inside a sentence) and units (after a number) become typed placeholders.
+that are not ``COMMON``, at the start of a sentence too) and units (after a number) become typed placeholders.
 Windows of ``WINDOW`` template tokens are hashed and joined by hash.  A
 document is contaminated by an item if, in one place, it shares at least
 ``COVERAGE`` of the item's windows and the slots agree: a benchmark value
@@ -32,7 +32,16 @@ UNITS = ("km|m|cm|mm|mi|ft|kg|g|mg|lb|lbs|oz|l|ml|s|sec|min|h|hr|hrs|hours?|days
          "pounds?|percent|degrees?|kmh|mph|usd|eur|gb|mb|kb")
 
 NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\p{N}+(?:[.,:/]\p{N}+)*+[%°]?"
-NAME = r"(?<=[\p{Ll}\p{N},;:)] )\p{Lu}[\p{Ll}'’-]++(?: \p{Lu}[\p{Ll}'’-]++)*+"
+# Words that sentences begin with; capitalised, they are no names.
+COMMON = ("A|About|After|All|Also|Although|An|And|Another|Any|Are|As|At|Based|Because|Before|Both|But|"
+          "By|Calculate|Can|Compute|Consider|Could|Determine|Did|Do|Does|During|Each|Every|Explain|"
+          "Find|First|For|From|Given|Had|Has|Have|He|Her|Here|His|How|However|I|If|In|Is|It|Its|Last|"
+          "Let|Many|More|Most|My|Next|No|Not|Now|Of|On|Once|One|Only|Or|Other|Our|She|Should|Since|"
+          "So|Some|Such|Suppose|Than|That|The|Their|Then|There|These|They|This|Those|Three|Through|"
+          "Thus|To|Today|Together|Two|Under|Until|Was|We|Were|What|When|Where|Which|While|Who|Whose|"
+          "Why|Will|With|Without|Would|Yes|You|Your")
+_CAPITAL = rf"(?!(?:{COMMON})(?![\p{{L}}\p{{N}}'’-]))\p{{Lu}}[\p{{Ll}}'’-]++"
+NAME = rf"(?<![^ \"“‘(\[]){_CAPITAL}(?: {_CAPITAL})*+"
 
 
 def _marked(text: Column) -> Column:

@@ -77,3 +77,17 @@ def test_edited_copies(spark, tmp_dir):
     texts = ["n1 n2 n3. " + " ".join(c) + " n4 n5" for c in copies]
     rows = D.flag_contaminated(stored(spark, texts, tmp_dir), bench(spark, [ITEM])).collect()
     assert [r["contaminated"] for r in sorted(rows)] == [True] * len(texts)
+
+
+def test_renamed_names_at_sentence_starts(spark, tmp_dir):
+    item = ("Maria has 12 apples. Carl has 7 apples more than Maria. Anna has twice as many apples "
+            "as Carl. How many apples do Maria and Anna have?")
+    new = {"Maria": "John", "Carl": "Petra", "Anna": "Omar", "12": "31", "7": "4"}
+    renamed = " ".join(item.split())
+    for old, value in new.items():
+        renamed = renamed.replace(old, value)
+    mixed = renamed.replace("than John", "than Petra")      # not one name for one name
+    texts = [renamed, f"n1 n2 n3. {renamed} n4 n5", f"n1 n2\n{renamed}", mixed]
+    rows = D.flag_contaminated(stored(spark, texts, tmp_dir), bench(spark, [item])).collect()
+    assert [r["contaminated"] for r in sorted(rows)] == [True, True, True, False]
+    assert min(r["coverage_"] for r in rows if r["contaminated"]) == 1.0
