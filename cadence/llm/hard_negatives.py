@@ -61,6 +61,8 @@ class SortedLists:
         for a, anchor in enumerate(anchors):
             met[a, self.order[anchor > 0, n - hi:n - lo].ravel()] = True
             met[a, self.order[anchor < 0, lo:hi].ravel()] = True
+            if hi == n and not anchor.any():
+                met[a] = True       # no list leads to any row
         return met
 
     def threshold(self, anchors: np.ndarray, depth: int) -> np.ndarray:
@@ -108,7 +110,7 @@ def search(lists: SortedLists, anchors: np.ndarray, allowed, windows: list, k: i
         done, depth = 0, min(first, n) if dims else n
         while len(live):
             now = anchors[live]
-            fresh = (lists.read(now, done, depth) if dims else np.ones_like(met)) & ~met
+            fresh = lists.read(now, done, depth) & ~met
             rows = np.flatnonzero(fresh.any(axis=0))
             scores[:, rows] = np.where(fresh[:, rows], _products(now, lists.vectors[rows]),
                                        scores[:, rows])
