@@ -63,6 +63,14 @@ def q_macro_daily(spark, sf_dir):
     return normalize(td.macro(spark, sf_dir))
 
 
+@register("macro_points", S.with_ctes(S.MACRO) + """
+ SELECT indicator, strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(valor AS DOUBLE) AS valor, points FROM macro_counted""")
+def q_macro_points(spark, sf_dir):
+    """The macro series with the rows behind each value: all of them."""
+    return normalize(td.macro_points(spark, sf_dir))
+
+
 @register("daily_bars", """
  SELECT event_type AS series, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
         arg_min(value, {'t': ts, 'i': event_id}) AS open, max(value) AS high,

@@ -6,12 +6,13 @@ They stand in for the landed sources so every operator runs on
 * ``market``  -- ``orders``: one series per ``o_orderpriority``; per day the
   price is the total of the order with the greatest ``o_orderkey``, the cap
   the day's largest total, the volume the day's sum.
-* ``macro``   -- ``lineitem`` averaged by ``(l_returnflag, ship day)``;
-  R/A/N become the exchange rate, the daily policy rate and the monthly
-  inflation, scaled into their valid ranges.  The exchange and policy rates
-  exist on weekdays only, inflation on the first day of a month, all from
-  1995-06-01 on -- the gaps force forward fill and the early market days the
-  earliest-value fallback.
+* ``macro``   -- ``lineitem``, every row of it: R/A/N become the exchange
+  rate, the daily policy rate and the monthly inflation, averaged and scaled
+  into their valid ranges.  Ship days are shifted by a constant, so the
+  series begin months after the first market day and the early market days
+  need the earliest-value fallback.  Weekend rows of the two rates count for
+  the Friday before, all inflation rows of a month for its first day -- the
+  gaps force forward fill.
 * ``ticks``   -- ``events``: intra-day points, series ``event_type``.
 * ``target``/``batch`` -- ``market`` split by date with an overlap year and
   re-priced batch rows, for the keyed merge.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from cadence.operators.dedup import last_of_day
 
 # Fixed values of the adapters (shared with the SQL oracles).
-MACRO_START = "1995-06-01"
+MACRO_SHIFT_DAYS = 150
 FLAG_TO_INDICATOR = {"R": "dolar", "A": "selic", "N": "ipca"}
 TARGET_BEFORE = "2000-01-01"
 BATCH_FROM = "1999-01-01"
@@ -52,25 +53,34 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("volume_24h_usd").cast("decimal(30,2)").alias("volume_24h_usd"))
 
 
-def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    day = F.to_date("l_shipdate")
-    flag = F.col("l_returnflag")
-    daily = (li.where(F.col("l_shipdate") >= F.lit(MACRO_START).cast("timestamp_ntz"))
-             .groupBy(flag.alias("flag"), day.alias("reference_date"))
-             .agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t")))
-    weekday = ~F.dayofweek("reference_date").isin(1, 7)
-    first_of_month = F.dayofmonth("reference_date") == 1
-    value = (F.when(F.col("flag") == "R", F.lit(4.0) + F.col("d") * 20)
-             .when(F.col("flag") == "A", F.col("t"))
-             .otherwise(F.col("t") * 10 - F.lit(0.2)))
-    keep = (F.when(F.col("flag").isin("R", "A"), weekday)
-            .when(F.col("flag") == "N", first_of_month).otherwise(F.lit(False)))
+def macro_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``indicator, reference_date, valor, points``: the macro series with the
+    number of ``lineitem`` rows behind each value.  Sums are taken over exact
+    decimals, so the averages do not depend on the order of rows."""
+    shipped = F.date_add(F.to_date("l_shipdate"), MACRO_SHIFT_DAYS)
+    past_friday = F.greatest(F.lit(0), F.weekday(shipped) - 4)
+    day = F.when(F.col("l_returnflag") == "N", F.trunc(shipped, "month")).otherwise(
+        F.date_sub(shipped, past_friday))
+
+    def mean(name: str):
+        exact = F.col(name).cast("decimal(12,2)")
+        return F.sum(exact).cast("double") / F.count(exact)
+
     indicator = F.element_at(F.create_map(*[F.lit(x) for kv in FLAG_TO_INDICATOR.items()
-                                           for x in kv]), F.col("flag"))
-    return (daily.where(keep)
-            .select(indicator.alias("indicator"), "reference_date",
-                    F.round(value, 8).cast("decimal(15,8)").alias("valor")))
+                                           for x in kv]), F.col("l_returnflag"))
+    value = (F.when(F.col("indicator") == "dolar", F.lit(4.0) + F.col("d") * 20)
+             .when(F.col("indicator") == "selic", F.col("t"))
+             .otherwise(F.col("t") * 10 - F.lit(0.2)))
+    return (table(spark, sf_dir, "lineitem")
+            .groupBy(indicator.alias("indicator"), day.alias("reference_date"))
+            .agg(mean("l_discount").alias("d"), mean("l_tax").alias("t"),
+                 F.count(F.lit(1)).alias("points"))
+            .select("indicator", "reference_date",
+                    F.round(value, 8).cast("decimal(15,8)").alias("valor"), "points"))
+
+
+def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return macro_points(spark, sf_dir).drop("points")
 
 
 def macro_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
