@@ -25,6 +25,9 @@ def main(argv=None) -> int:
     ap.add_argument("--tables", required=True, help="folder holding the stored tables")
     ap.add_argument("--macro-landing", help="landed macro payload folder")
     ap.add_argument("--market-landing", help="landed market payload folder")
+    ap.add_argument("--as-of", help="load the extraction window that ends on this day (YYYY-MM-DD)")
+    ap.add_argument("--listed", action="store_true",
+                    help="load the monitored indicators and assets only")
     ap.add_argument("--start-date", help="consolidate from this day (YYYY-MM-DD)")
     ap.add_argument("--mode-slice", default="reference", choices=["reference", "lookback"])
     ap.add_argument("--validate", default="before", choices=["before", "after", "report"])
@@ -43,18 +46,22 @@ def main(argv=None) -> int:
     spark = build_session(args.master, app_name=f"cadence-{args.mode}",
                           shuffle_partitions=args.shuffle_partitions)
     from cadence.plans import jobs
+    from cadence.schemas import ASSETS, INDICATORS
     from cadence.sources.payloads import read_macro_payloads, read_market_payloads
 
     t = args.tables.rstrip("/")
     paths = jobs.Paths(f"{t}/bcb_indicators", f"{t}/crypto_market",
-                       f"{t}/daily_consolidated", f"{t}/pipeline_run_log")
+                       f"{t}/daily_consolidated", f"{t}/pipeline_run_log",
+                       f"{t}/monthly_states")
     result: dict = {}
     if args.mode in ("macro", "all"):
         result["macro"] = jobs.load_macro(spark, read_macro_payloads(spark, args.macro_landing),
-                                        paths)
+                                        paths, as_of=args.as_of,
+                                        indicators=list(INDICATORS) if args.listed else None)
     if args.mode in ("market", "all"):
         result["market"] = jobs.load_market(
-            spark, read_market_payloads(spark, args.market_landing), paths)
+            spark, read_market_payloads(spark, args.market_landing), paths, as_of=args.as_of,
+            assets=ASSETS if args.listed else None)
     if args.mode in ("consolidate", "all"):
         result["consolidated"] = jobs.run_consolidation(
             spark, paths, args.start_date, mode=args.mode_slice, validate_when=args.validate,

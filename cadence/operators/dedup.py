@@ -1,8 +1,8 @@
 """Keep-last reductions expressed as aggregates.
 
-``max_by`` over a struct ordering key is a declarative aggregate with a
-partial (map-side) phase, so a hot key is reduced before the shuffle instead
-of being sorted in one task as a ``row_number`` window would be.
+``max_by`` is a declarative aggregate with a partial (map-side) phase, so a
+hot key is reduced before the shuffle instead of being sorted in one task as a
+``row_number`` window would be.
 """
 
 from __future__ import annotations
@@ -13,14 +13,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """One orderable value for the tuple ``order``: a number where it is one
+    whole number, day or timestamp (NULL first), which keeps ``max_by`` in
+    hash aggregation; else a struct."""
+    if len(order) == 1:
+        kind, c = dict(df.dtypes)[order[0]], F.col(order[0])
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            return F.coalesce(c.cast("decimal(20,0)"), F.lit("-" + "9" * 20).cast("decimal(20,0)"))
+        if kind == "date":
+            return F.coalesce(F.unix_date(c), F.lit(-2 ** 31))
+        if kind.startswith("timestamp"):
+            return F.coalesce(timestamp_micros(c), F.lit(-2 ** 63))
+    return F.struct(*[F.col(c) for c in order])
+
+
+def last_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """One ``max_by`` per column that is no key: with one ordering value they
+    all pick the same row."""
+    key = order_key(df, order)
+    return [F.max_by(F.col(c), key).alias(c) for c in df.columns if c not in keys]
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` tuple."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order_key = F.struct(*[F.col(c) for c in order])
-    picked = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order_key).alias("_kl")))
-    return picked.select(*keys, *[F.col(f"_kl.{c}").alias(c) for c in rest]).select(*df.columns)
+    return df.groupBy(*keys).agg(*last_values(df, keys, order)).select(*df.columns)
 
 
 def packed_order(primary: Column, tie: Column, tie_digits: int = 19) -> Column:

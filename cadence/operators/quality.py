@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.schemas import KEYS, REQUIRED_COLUMNS, VALIDATION_RULES
+from cadence.schemas import KEYS, REQUIRED_COLUMNS, RULES, Rule
 
 # Rule messages.
 MSG_MISSING = "colunas ausentes: {columns}"
@@ -78,33 +78,26 @@ def _out_of(df: DataFrame, name: str, lo, hi) -> Column:
     return (v < F.lit(float(lo))) | (v > F.lit(float(hi)))
 
 
-def table_checks(df: DataFrame, table: str, rules: dict | None = None,
+def table_checks(df: DataFrame, table: str, rules: Sequence[Rule] | None = None,
                  keys: Sequence[str] | None = None,
                  required: Sequence[str] | None = None) -> tuple[list[Check], list[str]]:
-    rules = VALIDATION_RULES[table] if rules is None else rules
+    rules = [r for r in (RULES if rules is None else rules) if r.table == table]
     keys = list(KEYS[table] if keys is None else keys)
     required = list(REQUIRED_COLUMNS[table] if required is None else required)
     missing = [c for c in required if c not in df.columns]
     if missing:          # reported first; the other rules need the columns
         return [], missing
-    checks: list[Check] = []
-    for c in rules.get("null_check", []):
-        checks.append(Check(table, "not_null", c, _is_null(df, c), MSG_NULLS))
+    checks = [Check(table, r.kind, r.column, _is_null(df, r.column), MSG_NULLS)
+              for r in rules if r.kind == "not_null"]
     checks.append(Check(table, "unique_key", ",".join(keys), None, MSG_DUPLICATES))
-    per_group = rules.get("indicator_ranges") or {}
-    if per_group:
-        for group, col_ranges in per_group.items():
-            for c, (lo, hi) in col_ranges.items():
-                in_group = F.col("indicator") == F.lit(group)
-                checks.append(Check(f"{table}[{group}]", "range", c,
-                                    in_group & _out_of(df, c, lo, hi),
-                                    MSG_RANGE.replace("{minimum}", str(lo))
-                                    .replace("{maximum}", str(hi))))
-    else:
-        for c, (lo, hi) in (rules.get("range_check") or {}).items():
-            checks.append(Check(table, "range", c, _out_of(df, c, lo, hi),
-                                MSG_RANGE.replace("{minimum}", str(lo))
-                                .replace("{maximum}", str(hi))))
+    for r in rules:
+        if r.kind != "range":
+            continue
+        bad, name = _out_of(df, r.column, r.minimum, r.maximum), table
+        if r.indicator:
+            bad, name = (F.col("indicator") == F.lit(r.indicator)) & bad, f"{table}[{r.indicator}]"
+        checks.append(Check(name, "range", r.column, bad, MSG_RANGE.replace(
+            "{minimum}", str(r.minimum)).replace("{maximum}", str(r.maximum))))
     return checks, missing
 
 
@@ -139,19 +132,34 @@ def evaluate(df: DataFrame, table: str, **kw) -> list[tuple[Check, int]]:
     return list(zip(checks, counts))
 
 
+def batch_flags(df: DataFrame, table: str) -> tuple[list[Check], dict[str, Column]]:
+    """The rules of ``table`` and, by their numbers, the columns that flag a
+    row breaking them: for counting them while a batch is written.  Missing
+    columns raise."""
+    checks, missing = table_checks(df, table)
+    if missing:
+        raise DataQualityError(table, MSG_MISSING.format(columns=", ".join(missing)))
+    return checks, {str(i): ch.expr for i, ch in enumerate(checks) if ch.expr is not None}
+
+
+def raise_violations(table: str, found: Sequence[tuple[Check, int]]) -> None:
+    """Raise for the first rule that was broken, in the fixed order."""
+    for ch, n in found:
+        if not n:
+            continue
+        if ch.rule == "unique_key":
+            raise DataQualityError(ch.table, ch.message.format(n=n,
+                                                               keys=ch.column.replace(",", ", ")))
+        raise DataQualityError(ch.table, ch.message.format(n=n, column=ch.column))
+
+
 def validate(df: DataFrame, table: str, **kw) -> DataFrame:
     """Raise :class:`DataQualityError` for the first violated rule, in the
     fixed order; otherwise return ``df`` unchanged."""
     checks, missing = table_checks(df, table, **kw)
     if missing:
         raise DataQualityError(table, MSG_MISSING.format(columns=", ".join(missing)))
-    for ch, n in evaluate(df, table, **kw):
-        if n:
-            if ch.rule == "unique_key":
-                msg = ch.message.format(n=n, keys=ch.column.replace(",", ", "))
-            else:
-                msg = ch.message.format(n=n, column=ch.column)
-            raise DataQualityError(ch.table, msg)
+    raise_violations(table, evaluate(df, table, **kw))
     return df
 
 
@@ -175,6 +183,21 @@ def check_not_empty(count: int | None, strict: bool = False, table: str = "daily
 
 # ------------------------------------------------------- documented rules
 
+def gap_counts(df: DataFrame, key: str, day: str = "reference_date", max_gap_days: int = 7
+               ) -> DataFrame:
+    """``key, gaps``: per key, how often two consecutive days lie more than
+    ``max_gap_days`` apart.  Days that are closer share a session
+    (``session_window``), so gaps are sessions minus one; with
+    ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` a hot key's
+    rows are merged into sessions before the shuffle.  NULL days belong to no
+    session."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+    session = F.session_window(F.col(day).cast("timestamp"), f"{max_gap_days + 1} days")
+    sessions = df.groupBy(key, session.alias("_session")).agg(F.count(F.lit(1)).alias("_rows"))
+    return sessions.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("gaps"))
+
+
 def documented_report(consolidated: DataFrame, as_of, *, max_gap_days: int = 7,
                       band=(0.5, 5.0), table: str = "daily_consolidated") -> DataFrame:
     """Rules described but not coded by the original: rows dated after

@@ -7,53 +7,65 @@ order: ``batch_order`` columns (e.g. an ingest sequence), else the arrival
 order given by ``monotonically_increasing_id`` of the batch scan.  NULL keys
 compare equal (as grouping does).
 
-The batch is reduced with a ``max_by`` aggregate over ``order``: it has a
+The batch is reduced with ``max_by`` aggregates over ``order``: they have a
 map-side partial phase, so a key repeated millions of times in a batch is
 reduced before the shuffle instead of being sorted in one task.  The target
 is only filtered (anti-join on the batch keys), never aggregated.
 
-Writes (``upsert_table``) touch only the month partitions present in the
-batch.  The batch's months are found first and bound the scan of the target
-by literal ``ref_month`` predicates, so other months are neither listed nor
-read.  The merged months are staged in a folder beside the table, on its own
-filesystem (Spark cannot overwrite a path it is reading), and then replace
-the months by a dynamic partition overwrite of that one write.  One writer
-per table is assumed; where a catalog supports it, ``DataFrame.mergeInto`` is
-the way to concurrent writers.  Re-running a failed or repeated load gives
-the same table (the merge is idempotent).
+Writes evaluate the batch once (``stage_batch``): it is reduced and written to
+a folder beside the table, and the same job's observation tells its rows,
+repeated keys, rule violations and months.  Merges (``merge_staged``) rewrite
+only those months.  They bound the scan of the target as a list of literal
+``ref_month`` values, so a batch of two distant months reads two.  The merged
+months are staged too (Spark cannot overwrite a path it is reading) and then
+replace the months by a dynamic partition overwrite of that one write.  One
+writer per table is assumed; where a catalog supports it,
+``DataFrame.mergeInto`` is the way to concurrent writers.  Re-running a failed
+or repeated load gives the same table (the merge is idempotent).
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.numeric import nan_to_null
-from cadence.operators.dedup import keep_last
+from cadence.operators.dedup import keep_last, last_values
 
 PARTITION_COL = "ref_month"
 
 
+def _ordered(batch: DataFrame, columns: Sequence[str], batch_order: Sequence[str] | None
+             ) -> tuple[DataFrame, list[str]]:
+    """``columns`` and the order of the batch's rows."""
+    if batch_order:
+        extra = [c for c in batch_order if c not in columns]
+        return batch.select(*columns, *extra), list(batch_order)
+    return batch.select(*columns, F.monotonically_increasing_id().alias("_seq")), ["_seq"]
+
+
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            batch_order: Sequence[str] | None = None,
-           columns: Sequence[str] | None = None) -> DataFrame:
+           columns: Sequence[str] | None = None, unique: bool = False) -> DataFrame:
     """Merged rows (``columns`` of the target; default: the batch's).
 
-    Plan: the batch is reduced to its last row per key (a ``max_by``
-    aggregate with a map-side phase), target rows whose key is in the batch
-    are dropped with a null-safe left-anti join on the key (the key side is
-    broadcast by AQE when small, so the target streams through without
-    being shuffled or sorted), and the two are unioned."""
+    Plan: the batch is reduced to its last row per key (``max_by``
+    aggregates with a map-side phase; not if it is ``unique`` already), target
+    rows whose key is in the batch are dropped with a null-safe left-anti join
+    on the key (the key side is broadcast by AQE when small, so the target
+    streams through without being shuffled or sorted), and the two are
+    unioned.  The batch is evaluated twice: pass a stored one."""
     keys = list(keys)
     columns = list(columns or [c for c in batch.columns if c not in (batch_order or [])])
-    seq = (F.struct(*[F.col(c) for c in batch_order]) if batch_order
-           else F.struct(F.monotonically_increasing_id()))
-    b = batch.select(*[F.col(c) for c in columns], seq.alias("_seq"))
-    latest = keep_last(b, keys, ["_seq"]).select(*columns)
+    latest = batch.select(*columns)
+    if not unique:
+        rows, order = _ordered(batch, columns, batch_order)
+        latest = keep_last(rows, keys, order).select(*columns)
     if target is None:
         return latest
     bk = latest.select(*[F.col(k).alias(f"_bk_{k}") for k in keys])
@@ -141,43 +153,78 @@ def since(df: DataFrame, day, date_col: str = "reference_date") -> DataFrame:
     return out
 
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                 schema: T.StructType, date_col: str = "reference_date",
-                 batch_order: Sequence[str] | None = None,
-                 check: Callable[[DataFrame], object] | None = None,
-                 keep_staging: bool = False) -> int:
-    """Merge ``batch`` into the Parquet table at ``path`` (created when
-    missing), rewriting only the month partitions the batch touches.
+@dataclass(frozen=True)
+class Staged:
+    """A batch written once, one row per key, and what that write observed."""
+    rows: DataFrame
+    path: str
+    count: int                  # rows before the reduction to one per key
+    repeated: int               # rows of a key beyond its first
+    months: list[str]
+    counts: dict[str, int]      # rows for which each flag holds
 
-    ``check`` runs on the staged merged partitions before they are
-    published; raising there leaves the table untouched.  Since a key lives
-    in one month partition, checking the touched partitions checks the whole
-    new table given the untouched ones were valid.
-    The batch is evaluated for its months and count and again for the merge:
-    pass a persisted one.  Returns the number of batch rows."""
-    month = F.date_format(F.col(date_col), "yyyy-MM")
+    def drop(self) -> None:
+        _drop_staging(self.rows.sparkSession, self.path)
+
+
+def stage_batch(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
+                date_col: str = "reference_date", batch_order: Sequence[str] | None = None,
+                flags: dict[str, Column] | None = None) -> Staged:
+    """Write ``batch``, reduced to its last row per key, beside the table at
+    ``path`` and observe it in the same job: the batch is evaluated once.
+
+    ``flags`` are boolean columns whose rows are counted over the whole batch.
+    They are summed per key first, so the observation sits in the job's last
+    stage, where a task counts once however often it is run again."""
+    keys, flags = list(keys), flags or {}
+    columns = [c for c in batch.columns if c not in (batch_order or []) or c in keys]
+    rows, order = _ordered(batch.withColumns({f"_flag_{n}": f for n, f in flags.items()}),
+                           [*columns, *(f"_flag_{n}" for n in flags)], batch_order)
+    values = [c for c in last_values(rows.select(*columns, *[o for o in order if o not in columns]),
+                                     keys, order)]
+    reduced = rows.groupBy(*keys).agg(
+        *values, F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(f"_flag_{n}")).alias(f"_flag_{n}") for n in flags])
+    seen = Observation(f"stage-{uuid.uuid4().hex}")
+    reduced = reduced.observe(
+        seen, F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("keys"),
+        F.collect_set(F.date_format(F.col(date_col), "yyyy-MM")).alias("months"),
+        *[F.sum(f"_flag_{n}").alias(f"flag_{n}") for n in flags])
+    stage = _stage_path(path)
+    reduced.select(*columns).write.mode("errorifexists").parquet(stage)
+    found = seen.get
+    count = found.get("rows") or 0
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in
+                           batch.select(*columns).schema.fields])
+    return Staged(spark.read.schema(schema).parquet(stage), stage, count,
+                  count - (found.get("keys") or 0), sorted(found.get("months") or []),
+                  {n: found.get(f"flag_{n}") or 0 for n in flags})
+
+
+def merge_staged(spark: SparkSession, path: str, rows: DataFrame, months: Sequence[str],
+                 keys: Sequence[str], schema: T.StructType, date_col: str = "reference_date",
+                 check: Callable[[DataFrame], object] | None = None,
+                 keep_staging: bool = False) -> None:
+    """Merge stored ``rows``, unique per key and of the listed months, into the
+    table at ``path`` (created when missing).  ``check`` runs on the merged
+    months before they are published; raising there leaves the table
+    untouched."""
     columns = [f.name for f in schema.fields]
-    batch = batch.select(*columns, *(batch_order or []))
-    extent = batch.agg(F.min(month).alias("low"), F.max(month).alias("high"),
-                       F.count(F.lit(1)).alias("rows")).first()
     stored = T.StructType(schema.fields + [T.StructField(PARTITION_COL, T.StringType())])
     known = table_exists(spark, path)
-    if known and not extent["rows"]:
-        return 0
+    if known and not months:
+        return
     current = None
     if known:
-        ref = F.col(PARTITION_COL)
-        touched = batch.select(month.alias(PARTITION_COL)).distinct()
         current = (spark.read.schema(stored).parquet(path)
-                   .where((ref >= extent["low"]) & (ref <= extent["high"]))
-                   .join(touched, PARTITION_COL, "left_semi").drop(PARTITION_COL))
+                   .where(F.col(PARTITION_COL).isin(list(months))).drop(PARTITION_COL))
     # rebalance: AQE sizes the write tasks by month -- small months are
     # coalesced into few files, a hot month is split over several tasks
-    merged = upsert(current, batch, keys, batch_order, columns) \
-        .withColumn(PARTITION_COL, month).hint("rebalance", PARTITION_COL)
+    merged = upsert(current, rows, keys, None, columns, True).withColumn(
+        PARTITION_COL, F.date_format(F.col(date_col), "yyyy-MM")).hint("rebalance", PARTITION_COL)
     if not known and check is None:      # nothing to read back first
         merged.write.mode("errorifexists").partitionBy(PARTITION_COL).parquet(path)
-        return extent["rows"]
+        return
     stage = _stage_path(path)
     merged.write.mode("errorifexists").partitionBy(PARTITION_COL).parquet(stage)
     staged = spark.read.schema(stored).parquet(stage)
@@ -187,4 +234,26 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
      .partitionBy(PARTITION_COL).parquet(path))
     if not keep_staging:
         _drop_staging(spark, stage)
-    return extent["rows"]
+
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
+                 schema: T.StructType, date_col: str = "reference_date",
+                 batch_order: Sequence[str] | None = None,
+                 check: Callable[[DataFrame], object] | None = None,
+                 keep_staging: bool = False) -> int:
+    """Merge ``batch`` into the Parquet table at ``path`` (created when
+    missing), rewriting only the month partitions the batch touches.
+
+    ``check`` runs on the staged merged partitions before they are
+    published; raising there leaves the table untouched.  Since a key lives
+    in one month partition, checking the touched partitions checks the whole
+    new table given the untouched ones were valid.
+    The batch is evaluated once.  Returns the number of batch rows."""
+    batch = batch.select(*[f.name for f in schema.fields], *(batch_order or []))
+    staged = stage_batch(spark, path, batch, keys, date_col, batch_order)
+    try:
+        merge_staged(spark, path, staged.rows, staged.months, keys, schema, date_col, check,
+                     keep_staging)
+    finally:
+        staged.drop()
+    return staged.count

@@ -1,24 +1,30 @@
 """Batch jobs: incremental macro load, incremental market load,
 consolidation, and the full run.  Jobs communicate only through tables.
 
-Each job persists its transformed batch once (memory and disk; lost blocks
-are recomputed from lineage) so that validation and the write share one
-scan of the source, validates with one aggregate job, merges by natural key
-touching only the affected month partitions, and appends a run-log row
-(success or failure; a failure to log is only a warning).
+A load evaluates its batch once.  One job reduces it to one row per key,
+writes it beside the table and observes row count, NULLs, ranges, repeated
+keys and months on the way; the rules are judged from that, and only then are
+the touched months merged.  A run-log row is appended either way (a failure to
+log is only a warning).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-
-from cadence.operators.quality import check_not_empty, evaluate, validate
-from cadence.operators.upsert import conform, market_batch_clean, read_table, upsert_table
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cadence.functions.dates import in_extraction_window
+from cadence.operators.quality import (batch_flags, check_not_empty, evaluate, raise_violations,
+                                       validate)
+from cadence.operators.upsert import (conform, market_batch_clean, merge_staged, read_table,
+                                      stage_batch)
+from cadence.plans import states
 from cadence.plans.consolidate import consolidate
 from cadence.plans.transforms import clean_market, transform_macro
 from cadence.schemas import CONSOLIDATED, KEYS, MACRO, MARKET
@@ -29,11 +35,13 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class Paths:
-    """Table locations (shared storage on a cluster)."""
+    """Table locations (shared storage on a cluster).  ``states`` is the
+    optional table of monthly states behind the reports."""
     macro: str
     market: str
     consolidated: str
     run_log: str
+    states: str | None = None
 
 
 def _logged(spark: SparkSession, paths: Paths, dag_id: str, task_id: str, source: str, fn,
@@ -53,40 +61,53 @@ def _logged(spark: SparkSession, paths: Paths, dag_id: str, task_id: str, source
     return rows
 
 
+def _extracted(rows: DataFrame, series: str, names: Sequence[str] | None, as_of) -> DataFrame:
+    """The listed series and the extraction window before ``as_of``, each only
+    where asked for."""
+    if names is not None:
+        rows = rows.where(F.col(series).isin(list(names)))
+    return rows if as_of is None else rows.where(in_extraction_window("reference_date", as_of))
+
+
+def _load(spark: SparkSession, path: str, batch: DataFrame, table: str, schema: StructType,
+          clean: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> int:
+    """Stage, judge, merge; the number of batch rows."""
+    checks, flags = batch_flags(batch, table)
+    staged = stage_batch(spark, path, batch, KEYS[table], flags=flags)
+    try:
+        raise_violations(table, [
+            (ch, staged.repeated if ch.rule == "unique_key" else staged.counts[str(i)])
+            for i, ch in enumerate(checks)])
+        rows = conform(clean(staged.rows), schema, stamp_col="ingested_at", table=table)
+        merge_staged(spark, path, rows, staged.months, KEYS[table], schema)
+    finally:
+        staged.drop()
+    return staged.count
+
+
 def load_macro(spark: SparkSession, landed: DataFrame, paths: Paths,
-               dag_id: str = "load_macro", task_id: str = "load_macro") -> int:
+               dag_id: str = "load_macro", task_id: str = "load_macro",
+               indicators: Sequence[str] | None = None, as_of=None) -> int:
     """C4: landed long rows ``(indicator, reference_date text, valor)`` ->
-    transform -> validate -> keyed merge into the macro table -> run log."""
+    transform -> allow-list and window (``indicators``, ``as_of``) -> validate
+    -> keyed merge into the macro table -> run log."""
     def run():
-        batch = transform_macro(landed).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            validate(batch, "bcb_indicators")
-            n = batch.count()          # exact even after task retries (cached)
-            rows = conform(batch, MACRO, stamp_col="ingested_at", table="bcb_indicators")
-            upsert_table(spark, paths.macro, rows, KEYS["bcb_indicators"], MACRO)
-            return n
-        finally:
-            batch.unpersist()
+        batch = _extracted(transform_macro(landed), "indicator", indicators, as_of)
+        return _load(spark, paths.macro, batch, "bcb_indicators", MACRO)
     return _logged(spark, paths, dag_id, task_id, "macro", run)
 
 
 def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
-                dag_id: str = "load_market", task_id: str = "load_market") -> int:
-    """Landed daily market rows -> clean -> validate -> NaN to NULL ->
-    keyed merge into the market table -> run log.  The change and volatility
-    of ``transform_market`` are neither stored nor validated, so the load
-    does not compute them."""
+                dag_id: str = "load_market", task_id: str = "load_market",
+                assets: Sequence[str] | None = None, as_of=None) -> int:
+    """Landed daily market rows -> clean -> allow-list and window
+    (``assets``, ``as_of``) -> validate -> NaN to NULL -> keyed merge into the
+    market table -> run log.  The change and volatility of
+    ``transform_market`` are neither stored nor validated, so the load does
+    not compute them."""
     def run():
-        batch = clean_market(landed).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            validate(batch, "crypto_market")
-            n = batch.count()          # exact even after task retries (cached)
-            rows = conform(market_batch_clean(batch), MARKET, stamp_col="ingested_at",
-                           table="crypto_market")
-            upsert_table(spark, paths.market, rows, KEYS["crypto_market"], MARKET)
-            return n
-        finally:
-            batch.unpersist()
+        batch = _extracted(clean_market(landed), "coin_id", assets, as_of)
+        return _load(spark, paths.market, batch, "crypto_market", MARKET, market_batch_clean)
     return _logged(spark, paths, dag_id, task_id, "market", run)
 
 
@@ -100,7 +121,8 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
     before they are published; ``"after"`` publishes first and then checks
     the whole table (the original order); ``"report"`` publishes and records
     the violation counts (one aggregate job) in the run log without failing.
-    Returns the fact-table row count."""
+    The monthly states of the touched months follow, where ``paths`` names
+    their table.  Returns the fact-table row count."""
     if validate_when not in ("before", "after", "report"):
         raise ValueError("validate_when must be 'before', 'after' or 'report'")
     notes = {}
@@ -112,12 +134,14 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
         facts = consolidate(market, macro, start_date, mode=mode, series_bucket=series_bucket)
         check = ((lambda staged: validate(staged, "daily_consolidated"))
                  if validate_when == "before" else None)
-        facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
+        staged = stage_batch(spark, paths.consolidated, facts, KEYS["daily_consolidated"])
         try:
-            upsert_table(spark, paths.consolidated, facts, KEYS["daily_consolidated"],
-                         CONSOLIDATED, check=check)
+            merge_staged(spark, paths.consolidated, staged.rows, staged.months,
+                         KEYS["daily_consolidated"], CONSOLIDATED, check=check)
         finally:
-            facts.unpersist()
+            staged.drop()
+        if paths.states:
+            states.refresh(spark, paths.states, paths.consolidated, staged.months)
         table = read_table(spark, paths.consolidated, CONSOLIDATED)
         if validate_when == "after":
             validate(table, "daily_consolidated")
