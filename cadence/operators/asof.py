@@ -24,6 +24,15 @@ a key, so a key holding a third of all rows is spread over its buckets.
 Right rows are expected to be unique per ``(by, on)`` (the natural key of a
 stored series, enforced by the duplicate-key rule); ties are otherwise
 resolved arbitrarily.
+
+Without ``by`` keys there is one series.  It is scanned by prefix
+(``operators.prefix``): range-partitioned on ``on``, the last value of every
+part carried to the parts after it.
+
+``asof_by_day`` is a second form for days: every right row is valid from its
+day to the day before the next, these intervals are expanded to a calendar,
+and the left rows find their day by an equi-join.  Nothing is sorted or
+windowed on the left, and a left row without a day takes the fallback.
 """
 
 from __future__ import annotations
@@ -34,6 +43,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadence.operators.prefix import last_known
+
 _CAL_UNITS = {"year", "quarter", "month", "week", "day", "hour", "minute"}
 
 
@@ -86,6 +97,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
                            F.col(right_on).cast(on_type).alias("_asof_t"),
                            F.lit(0).alias("_asof_side"),
                            F.struct(*[F.col(v) for v in values]).alias("_asof_r"))
+    if not by:
+        return _asof_series(l_side, r_side, lcols, values, backfill)
     bexpr = _bucket_expr(bucket, on_type)
     l_side = l_side.withColumn("_asof_b", bexpr)
     r_side = r_side.withColumn("_asof_b", bexpr)
@@ -106,7 +119,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
     grid = union.groupBy(*keys).agg(
         F.max_by("_asof_r", F.when(is_right, F.col("_asof_t"))).alias("_asof_last"),
         F.min_by("_asof_r", F.when(is_right, F.col("_asof_t"))).alias("_asof_first"))
-    w_b = Window.partitionBy(*by).orderBy("_asof_b") if by else Window.orderBy("_asof_b")
+    w_b = Window.partitionBy(*by).orderBy("_asof_b")
     carry = grid.select(
         *keys,
         F.last("_asof_last", ignorenulls=True)
@@ -124,3 +137,57 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = ()
             val = F.coalesce(val, F.col("_asof_earliest").getField(v))
         out.append(val.alias(v))
     return joined.select(*out)
+
+
+def _asof_series(l_side: DataFrame, r_side: DataFrame, lcols: Sequence[str],
+                 values: Sequence[str], backfill: bool) -> DataFrame:
+    """The join of one series: the last right row, carried over the parts."""
+    union = l_side.unionByName(r_side, allowMissingColumns=True).withColumn(
+        "_asof_id", F.monotonically_increasing_id())
+    filled = last_known(union, "_asof_r", ["_asof_t", "_asof_side", "_asof_id"], "_asof_in") \
+        .where("_asof_side = 1")
+    earliest = r_side.where(F.col("_asof_t").isNotNull()).select(
+        F.min_by("_asof_r", "_asof_t")).scalar() if backfill else None      # one row
+    out = [F.col(f"_asof_l.{c}").alias(c) for c in lcols]
+    for v in values:
+        val = F.col("_asof_in").getField(v)
+        if backfill:
+            val = F.coalesce(val, earliest.getField(v))
+        out.append(val.alias(v))
+    return filled.select(*out)
+
+
+def asof_by_day(left: DataFrame, right: DataFrame, on: str, by: Sequence[str],
+                values: Sequence[str], *, backfill: bool = False) -> DataFrame:
+    """``left`` with the as-of ``values`` of ``right`` appended, for a DATE
+    ``on`` and at least one ``by`` key.
+
+    The right rows of a key are expanded to one row per day of their validity;
+    the last one has no end and is joined once per key, beside the earliest.
+    Both sides are bounded by keys and calendar days, whatever the left side
+    holds.  The left side is joined twice by equality and never sorted."""
+    by, values = list(by), list(values)
+    if not by:
+        raise ValueError("asof_by_day needs a key; asof_join takes one series")
+    clash = set(values) & set(left.columns)
+    if clash:
+        raise ValueError(f"value columns already on the left: {sorted(clash)}")
+    known = right.select(*by, F.col(on).alias("_day"),
+                         F.struct(*[F.col(v) for v in values]).alias("_row"))
+    for k in (*by, "_day"):
+        known = known.where(F.col(k).isNotNull())
+    following = Window.partitionBy(*by).orderBy("_day")
+    valid = known.withColumn("_until", F.date_sub(F.lead("_day").over(following), 1))
+    calendar = (valid.where(F.col("_day") <= F.col("_until"))
+                .select(*by, F.explode(F.sequence("_day", "_until")).alias(on),
+                        F.col("_row").alias("_at")))
+    ends = known.groupBy(*by).agg(F.min_by("_row", "_day").alias("_first"),
+                                  F.max_by("_row", "_day").alias("_last"),
+                                  F.max("_day").alias("_since"))
+    found = left.join(calendar, [*by, on], "left").join(ends, by, "left")
+    row = F.when(F.col(on) >= F.col("_since"), F.col("_last")).otherwise(F.col("_at"))
+    out = [F.col(c) for c in left.columns]
+    for v in values:
+        val = row.getField(v)
+        out.append((F.coalesce(val, F.col("_first").getField(v)) if backfill else val).alias(v))
+    return found.select(*out)

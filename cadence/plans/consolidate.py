@@ -4,7 +4,7 @@ table (one row per asset and day).
     market --(optional slice)--> lag / pct change / rolling volatility
         (one shuffle by asset; both windows share partitioning and order)
     distinct market days x indicators --as-of with earliest fallback--> macro
-        (bucketed as-of, see ``operators.asof``) --pivot--> one row per day
+        (by validity calendar, see ``operators.asof``) --pivot--> one row per day
     facts LEFT JOIN macro-by-day (one row per day; AQE broadcasts it if small)
     -> BRL price, annualised policy rate, cast to the stored widths.
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.numeric import annualize_rate, store_cast
-from cadence.operators.asof import asof_join
+from cadence.operators.asof import asof_by_day, asof_join
 from cadence.operators.reshape import long_to_wide
 from cadence.operators.upsert import since
 from cadence.operators.windows import (bucketed_series, pct_change, rolling_stddev,
@@ -116,17 +116,28 @@ def lookback_start(market: DataFrame, start_date, rows: int = VOLATILITY_ROWS,
 
 
 def macro_by_day(days: DataFrame, macro: DataFrame, indicators=None,
-                 bucket="year") -> DataFrame:
+                 bucket="year", method: str = "calendar") -> DataFrame:
     """For each day: the latest value of each indicator at or before the day,
     else the indicator's earliest value; one row per day, one column per
-    indicator (``dolar_brl``, ``selic_daily_rate``, ``ipca_monthly``)."""
+    indicator (``dolar_brl``, ``selic_daily_rate``, ``ipca_monthly``).  A NULL
+    day takes the earliest values.
+
+    ``method="calendar"`` joins the days to the values' validity
+    (:func:`asof_by_day`), ``"bucket"`` scans both by buckets of time
+    (:func:`asof_join`)."""
+    if method not in ("calendar", "bucket"):
+        raise ValueError("method must be 'calendar' or 'bucket'")
     names = list(indicators or INDICATORS)
     left = days.select("reference_date").withColumn(
         "indicator", F.explode(F.array(*[F.lit(n) for n in names])))
     right = macro.select("indicator", "reference_date", "valor").where(
         F.col("indicator").isin(names))
-    filled = asof_join(left, right, on="reference_date", by=["indicator"], values=["valor"],
-                       backfill=True, bucket=bucket)
+    if method == "calendar":
+        filled = asof_by_day(left, right, "reference_date", ["indicator"], ["valor"],
+                             backfill=True)
+    else:
+        filled = asof_join(left, right, on="reference_date", by=["indicator"],
+                           values=["valor"], backfill=True, bucket=bucket)
     return long_to_wide(filled, "reference_date", "indicator", "valor", names,
                         rename={k: v for k, v in MACRO_COLUMNS.items() if k in names})
 
@@ -157,8 +168,8 @@ def consolidate(market: DataFrame, macro: DataFrame, start_date=None, *,
         facts = facts.where(F.col("reference_date") >= _date(start_date))
 
     days = facts.select("reference_date").distinct()
-    by_day = macro_by_day(days, macro)
-    joined = facts.join(by_day, "reference_date", "left")
+    by_day = macro_by_day(days, macro).withColumnRenamed("reference_date", "_day")
+    joined = facts.join(by_day, F.col("reference_date").eqNullSafe(F.col("_day")), "left")
 
     stamp = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     price_brl = F.round(F.col("price_usd") * F.col("dolar_brl"), 8)
