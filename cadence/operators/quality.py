@@ -187,13 +187,13 @@ def gap_counts(df: DataFrame, key: str, day: str = "reference_date", max_gap_day
                ) -> DataFrame:
     """``key, gaps``: per key, how often two consecutive days lie more than
     ``max_gap_days`` apart.  Days that are closer share a session
-    (``session_window``), so gaps are sessions minus one; with
+    (``session_window``, half a day wider than that), so gaps are sessions minus one; with
     ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` a hot key's
     rows are merged into sessions before the shuffle.  NULL days belong to no
     session."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
-    session = F.session_window(F.col(day).cast("timestamp"), f"{max_gap_days + 1} days")
+    session = F.session_window(F.col(day).cast("timestamp"), f"{24 * max_gap_days + 12} hours")
     sessions = df.groupBy(key, session.alias("_session")).agg(F.count(F.lit(1)).alias("_rows"))
     return sessions.groupBy(key).agg((F.count(F.lit(1)) - 1).alias("gaps"))
 

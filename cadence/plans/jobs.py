@@ -111,6 +111,18 @@ def load_market(spark: SparkSession, landed: DataFrame, paths: Paths,
     return _logged(spark, paths, dag_id, task_id, "market", run)
 
 
+def store_facts(spark: SparkSession, paths: Paths, facts: DataFrame,
+                check: Callable[[DataFrame], object] | None = None) -> list[str]:
+    """Merge consolidated rows into the fact table; the months they touch."""
+    staged = stage_batch(spark, paths.consolidated, facts, KEYS["daily_consolidated"])
+    try:
+        merge_staged(spark, paths.consolidated, staged.rows, staged.months,
+                     KEYS["daily_consolidated"], CONSOLIDATED, check=check)
+    finally:
+        staged.drop()
+    return staged.months
+
+
 def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
                       mode: str = "reference", validate_when: str = "before",
                       series_bucket: str | None = None,
@@ -134,14 +146,9 @@ def run_consolidation(spark: SparkSession, paths: Paths, start_date=None, *,
         facts = consolidate(market, macro, start_date, mode=mode, series_bucket=series_bucket)
         check = ((lambda staged: validate(staged, "daily_consolidated"))
                  if validate_when == "before" else None)
-        staged = stage_batch(spark, paths.consolidated, facts, KEYS["daily_consolidated"])
-        try:
-            merge_staged(spark, paths.consolidated, staged.rows, staged.months,
-                         KEYS["daily_consolidated"], CONSOLIDATED, check=check)
-        finally:
-            staged.drop()
+        touched = store_facts(spark, paths, facts, check)
         if paths.states:
-            states.refresh(spark, paths.states, paths.consolidated, staged.months)
+            states.refresh(spark, paths.states, paths.consolidated, touched)
         table = read_table(spark, paths.consolidated, CONSOLIDATED)
         if validate_when == "after":
             validate(table, "daily_consolidated")

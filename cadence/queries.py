@@ -10,15 +10,21 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from cadence import sql_fragments as S
 from cadence.catalog import normalize, register
 from cadence.operators import quality as Q
+from cadence.operators.asof import asof_join
+from cadence.operators.prefix import row_numbers
 from cadence.operators.reshape import long_to_wide
 from cadence.operators.upsert import conform, market_batch_clean, read_table, upsert, upsert_table
 from cadence.plans import consolidate as C
+from cadence.plans import jobs as J
 from cadence.plans import reports as R
+from cadence.plans import states as ST
 from cadence.plans import transforms as T
-from cadence.schemas import KEYS, MARKET
+from cadence.schemas import CONSOLIDATED, KEYS, MARKET
 from cadence.session import checkpoint_dir
 from cadence.sources import payloads as P
+from cadence.sources import tables as TB
 from cadence.sources import testdata as td
+from cadence.work import work_table
 
 # Fixed parameters of the registered queries (shared with the oracles).
 SLICE_START = "1999-06-01"
@@ -169,6 +175,33 @@ def q_market_metrics(spark, sf_dir):
     return normalize(out)
 
 
+@register("bucketed_metrics", _BASE + """
+ SELECT coin_id, strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(price_usd AS DOUBLE) AS price_usd,
+        CAST(pct_change_1d AS DOUBLE) AS pct_change_1d,
+        CAST(volatility_7d AS DOUBLE) AS volatility_7d
+ FROM series""")
+def q_bucketed_metrics(spark, sf_dir):
+    """W1/W2/W4 with a series spread over its years (7-row halo)."""
+    out = C.market_metrics(td.market(spark, sf_dir), "year").select(
+        "coin_id", "reference_date", "price_usd", "pct_change_1d", "volatility_7d")
+    return normalize(out)
+
+
+@register("ranked_series", S.with_ctes(S.MARKET) + """
+ SELECT coin_id, strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(price_usd AS DOUBLE) AS price_usd,
+        row_number() OVER (ORDER BY coin_id, reference_date) AS place,
+        row_number() OVER (PARTITION BY coin_id ORDER BY reference_date) AS place_in_series
+ FROM market""")
+def q_ranked_series(spark, sf_dir):
+    """O1/O2: the sort by asset and day as row numbers, over all rows and in
+    the asset, by range partitions and prefix sums."""
+    m = td.market(spark, sf_dir).select("coin_id", "reference_date", "price_usd")
+    placed = row_numbers(m, ["coin_id", "reference_date"], name="place")
+    return normalize(row_numbers(placed, ["reference_date"], ["coin_id"], "place_in_series"))
+
+
 # ======================================================================= as-of
 @register("asof_fill", _BASE + """
  SELECT strftime(reference_date, '%Y-%m-%d') AS reference_date,
@@ -183,6 +216,32 @@ def q_asof_fill(spark, sf_dir):
     return normalize(C.macro_by_day(days, td.macro(spark, sf_dir)))
 
 
+@register("asof_bucketed", _BASE + """
+ SELECT strftime(reference_date, '%Y-%m-%d') AS reference_date,
+        CAST(dolar_brl AS DOUBLE) AS dolar_brl,
+        CAST(selic_daily_rate AS DOUBLE) AS selic_daily_rate,
+        CAST(ipca_monthly AS DOUBLE) AS ipca_monthly
+ FROM filled""")
+def q_asof_bucketed(spark, sf_dir):
+    """J2/J3/W7 as a scan of both sides by buckets of time."""
+    days = td.market(spark, sf_dir).select("reference_date").distinct()
+    return normalize(C.macro_by_day(days, td.macro(spark, sf_dir), method="bucket"))
+
+
+@register("asof_one_series", S.with_ctes(S.MACRO) + """,
+ fx AS (SELECT reference_date, valor FROM macro WHERE indicator = 'dolar')
+ SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS reference_date,
+        CAST(COALESCE(valor, (SELECT arg_min(valor, reference_date) FROM fx)) AS DOUBLE) AS valor
+ FROM orders ASOF LEFT JOIN fx ON CAST(o_orderdate AS DATE) >= fx.reference_date""")
+def q_asof_one_series(spark, sf_dir):
+    """J2 without keys, O5: every order with the exchange rate of its day, one
+    long series scanned by prefix."""
+    orders = td.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("reference_date"))
+    fx = td.macro(spark, sf_dir).where("indicator = 'dolar'").drop("indicator")
+    return normalize(asof_join(orders, fx, "reference_date", values=["valor"], backfill=True))
+
+
 @register("macro_wide", S.with_ctes(S.MARKET, S.MACRO) + """
  SELECT strftime(reference_date, '%Y-%m-%d') AS reference_date,
         CAST(max(valor) FILTER (WHERE indicator = 'dolar') AS DOUBLE) AS dolar,
@@ -230,7 +289,8 @@ _MARKET_COLS = "coin_id, reference_date, price_usd, market_cap_usd, volume_24h_u
 def q_upsert_market(spark, sf_dir):
     """Batch beats target, the later batch row beats the earlier."""
     cols = _MARKET_COLS.split(", ")
-    out = upsert(td.target(spark, sf_dir), td.batch(spark, sf_dir),
+    m = work_table(td.market(spark, sf_dir))
+    out = upsert(td.target(spark, sf_dir, m), td.batch(spark, sf_dir, m),
                  ["coin_id", "reference_date"], ["batch_seq"], cols)
     return normalize(out)
 
@@ -249,6 +309,16 @@ def q_landing_overlap(spark, sf_dir):
     return P.parse_macro_payload(fetches[0].unionByName(fetches[1]), fetched="fetched")
 
 
+@register("landing_empty", S.with_ctes(S.MACRO) + """
+ SELECT indicator, strftime(reference_date, '%d/%m/%Y') AS reference_date,
+        CAST(valor AS DOUBLE) AS valor FROM macro WHERE month(reference_date) <> 2""")
+def q_landing_empty(spark, sf_dir):
+    """F8: the documents of every February hold an empty array."""
+    docs = P.encode_macro_payloads(td.macro(spark, sf_dir))
+    return P.parse_macro_payload(docs.withColumn("payload", F.when(
+        F.col("month").endswith("-02"), F.lit("[]")).otherwise(F.col("payload"))))
+
+
 @register("clean_market", S.with_ctes(S.MARKET) + """
  SELECT coin_id, strftime(reference_date, '%Y-%m-%d') AS reference_date,
         CAST(price_usd AS DOUBLE) AS price_usd, CAST(market_cap_usd AS DOUBLE) AS market_cap_usd,
@@ -280,8 +350,9 @@ def q_stored_market(spark, sf_dir):
     table with the stored schema, read back."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/stored-market-{uuid.uuid4().hex}/crypto_market"
     sequence = StructField("batch_seq", IntegerType())
-    for rows, order in ((td.target(spark, sf_dir).withColumn("batch_seq", F.lit(0)), None),
-                        (td.batch(spark, sf_dir), ["batch_seq"])):
+    m = work_table(td.market(spark, sf_dir))
+    for rows, order in ((td.target(spark, sf_dir, m).withColumn("batch_seq", F.lit(0)), None),
+                        (td.batch(spark, sf_dir, m), ["batch_seq"])):
         stamped = conform(rows, StructType([*MARKET.fields, sequence]), "ingested_at", CREATED_AT)
         upsert_table(spark, path, stamped, KEYS["crypto_market"], MARKET, batch_order=order)
     return normalize(read_table(spark, path, MARKET))
@@ -294,7 +365,8 @@ def q_stored_market(spark, sf_dir):
         CAST(valor AS DOUBLE) AS valor FROM merged""")
 def q_upsert_macro(spark, sf_dir):
     """S6/S9 on the macro key."""
-    out = upsert(td.macro_target(spark, sf_dir), td.macro_batch(spark, sf_dir),
+    m = work_table(td.macro(spark, sf_dir))
+    out = upsert(td.macro_target(spark, sf_dir, m), td.macro_batch(spark, sf_dir, m),
                  ["indicator", "reference_date"], ["batch_seq"],
                  ["indicator", "reference_date", "valor"])
     return normalize(out)
@@ -322,6 +394,105 @@ def q_upsert_consolidated(spark, sf_dir):
     return normalize(out)
 
 
+# ======================================================================== jobs
+def _job_paths(spark) -> J.Paths:
+    base = f"{checkpoint_dir(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
+    return J.Paths(*(f"{base}/{name}" for name in (
+        "bcb_indicators", "crypto_market", "daily_consolidated", "run_log", "monthly_states")))
+
+
+_JOB_SQL = S.with_ctes(S.MARKET, S.MACRO, S.MARKET_TARGET_BATCH) + """,
+ loaded AS (
+   SELECT * FROM macro WHERE NOT (indicator = 'dolar' AND day(reference_date) = 10)
+ ),
+ merged AS (""" + S.upsert_sql("market_target", "(SELECT * FROM market_batch WHERE batch_seq = 1)",
+                               "coin_id, reference_date", _MARKET_COLS, "batch_seq") + """),
+""" + S.consolidated(market="merged", macro="loaded")
+
+
+def _run_jobs(spark, sf_dir) -> J.Paths:
+    """Two market loads that overlap, a macro load and a consolidation."""
+    paths, m = _job_paths(spark), work_table(td.market(spark, sf_dir))
+    J.load_macro(spark, td.macro_landed(spark, sf_dir), paths)
+    J.load_market(spark, td.target(spark, sf_dir, m), paths)
+    J.load_market(spark, td.batch(spark, sf_dir, m).where("batch_seq = 1").drop("batch_seq"), paths)
+    J.run_consolidation(spark, paths, validate_when="report")
+    return paths
+
+
+@register("job_run", _JOB_SQL + f" SELECT {S.CONSOLIDATED_COLS}, true AS stamped FROM consolidated")
+def q_job_run(spark, sf_dir):
+    """Load, load, consolidate; the fact table read back."""
+    facts = read_table(spark, _run_jobs(spark, sf_dir).consolidated, CONSOLIDATED)
+    return _no_stamp(facts.withColumn("stamped", F.col("created_at").isNotNull()))
+
+
+@register("job_log", S.with_ctes(S.MARKET, S.MARKET_DIRTY, S.MACRO) + """,
+ counts AS (
+   SELECT (SELECT count(*) FROM macro WHERE NOT (indicator = 'dolar' AND day(reference_date) = 10))
+            AS n_macro,
+          (SELECT count(*) FROM market WHERE coin_id IN ({assets})
+             AND reference_date BETWEEN DATE '{as_of}' - INTERVAL 365 DAY AND DATE '{as_of}')
+            AS n_market,
+          (SELECT count(*) FROM market_dirty WHERE price_usd IS NOT NULL
+             AND volume_24h_usd IS NULL) AS n_bad
+ )
+ SELECT 'INFO' AS level, 'cadence.jobs' AS logger,
+        'load_macro/load_macro - success (' || n_macro || ' rows)' AS message,
+        CAST(NULL AS VARCHAR) AS exception FROM counts
+ UNION ALL SELECT 'INFO', 'cadence.jobs',
+        'load_market/load_market - success (' || n_market || ' rows)', NULL FROM counts
+ UNION ALL SELECT 'ERROR', 'cadence.jobs', 'load_market/load_market - failed (0 rows)',
+        'crypto_market: volume_24h_usd possui ' || n_bad || ' valores nulos' FROM counts"""
+          .format(as_of=AS_OF, assets=", ".join(f"'{a}'" for a in ALLOWED_ASSETS)))
+def q_job_log(spark, sf_dir):
+    """S10/P16, V9, F6/F7 in a load: the JSON log lines of a macro load, of a
+    market load of the listed assets' last year, and of a load that fails its
+    rules (without the time)."""
+    paths = _job_paths(spark)
+    J.load_macro(spark, td.macro_landed(spark, sf_dir), paths)
+    J.load_market(spark, td.market(spark, sf_dir), paths, assets=ALLOWED_ASSETS, as_of=AS_OF)
+    try:
+        J.load_market(spark, td.dirty(spark, sf_dir), paths)
+    except Q.DataQualityError:
+        pass        # written to the log
+    lines = TB.run_log_json(TB.read_run_log(spark, paths.run_log))
+    fields = ("level", "logger", "message", "exception")
+    return lines.select(*[F.get_json_object("line", f"$.{f}").alias(f) for f in fields])
+
+
+# ============================================================== monthly states
+_MERGED = S.with_ctes(S.MARKET, S.MACRO, S.consolidated(prefix="t_"),
+                      S.consolidated(SLICE_START, prefix="b_")) + """,
+ t_target AS (SELECT * FROM t_consolidated WHERE reference_date < DATE '2000-01-01'),
+ consolidated AS (""" + S.upsert_sql("t_target", "b_consolidated", "coin_id, reference_date",
+                                     _CONS_COLS, None) + ")"
+
+
+def _states(spark, sf_dir):
+    """The states after a first load and the merge of a slice, of which only
+    the touched months are computed again."""
+    paths = _job_paths(spark)
+    market, macro = work_table(td.market(spark, sf_dir)), work_table(td.macro(spark, sf_dir))
+    full = C.consolidate(market, macro, created_at=CREATED_AT).where(
+        F.col("reference_date") < F.lit("2000-01-01").cast("date"))
+    for facts in (full, C.consolidate(market, macro, SLICE_START, created_at=CREATED_AT)):
+        touched = J.store_facts(spark, paths, facts)
+        ST.refresh(spark, paths.states, paths.consolidated, touched)
+    return ST.read_states(spark, paths.states)
+
+
+@register("state_summary", _MERGED + """
+ SELECT coin_id,
+        CAST(ROUND(AVG(pct_change_1d), 4) AS DOUBLE) AS avg_daily_return,
+        CAST(ROUND(AVG(volatility_7d), 4) AS DOUBLE) AS avg_volatility,
+        CAST(ROUND(AVG(price_brl), 4) AS DOUBLE) AS avg_price_brl
+ FROM consolidated GROUP BY coin_id""")
+def q_state_summary(spark, sf_dir):
+    """A7/O3 from the monthly states."""
+    return normalize(ST.asset_summary(_states(spark, sf_dir)))
+
+
 # =============================================================== data quality
 def _range_sql(table, col, lo, hi, src, where=""):
     cond = f"(CAST({col} AS DOUBLE) < {float(lo)!r} OR CAST({col} AS DOUBLE) > {float(hi)!r})"
@@ -400,6 +571,17 @@ def q_dq_documented(spark, sf_dir):
     return Q.documented_report(_consolidated(spark, sf_dir), AS_OF)
 
 
+@register("dq_gaps", """
+ WITH days AS (SELECT DISTINCT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day FROM orders),
+ steps AS (SELECT customer, day - LAG(day) OVER (PARTITION BY customer ORDER BY day) AS step FROM days)
+ SELECT customer, count(*) FILTER (WHERE step > 7) AS gaps FROM steps GROUP BY customer""")
+def q_dq_gaps(spark, sf_dir):
+    """D5 on series with gaps: one series per customer, by session windows."""
+    orders = td.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer"), F.to_date("o_orderdate").alias("reference_date"))
+    return Q.gap_counts(orders, "customer")
+
+
 # ===================================================================== reports
 @register("asset_summary", _BASE + """
  SELECT coin_id,
@@ -428,6 +610,19 @@ def q_summary_formatted(spark, sf_dir):
     return R.summary_formatted(R.asset_summary(_consolidated(spark, sf_dir)))
 
 
+@register("ranked_summary", _BASE + """,
+ s AS (SELECT coin_id, ROUND(AVG(volatility_7d), 4) AS v FROM consolidated GROUP BY coin_id)
+ SELECT coin_id, CAST(v AS DOUBLE) AS avg_volatility,
+        row_number() OVER (ORDER BY v DESC NULLS FIRST, coin_id) AS place FROM s""")
+def q_ranked_summary(spark, sf_dir):
+    """O3: the summary's order (NULLs first) as row numbers."""
+    s = R.asset_summary(_consolidated(spark, sf_dir)).select(
+        "coin_id", "avg_volatility", F.col("avg_volatility").isNotNull().alias("known"),
+        (-F.col("avg_volatility")).alias("down"))
+    return normalize(row_numbers(s, ["known", "down", "coin_id"], name="place")
+                     .drop("known", "down"))
+
+
 @register("price_ranking", _BASE + """
  SELECT coin_id, CAST(ROUND(AVG(price_brl), 4) AS DOUBLE) AS avg_price_brl
  FROM consolidated GROUP BY coin_id HAVING AVG(price_brl) IS NOT NULL""")
@@ -490,7 +685,7 @@ def q_latest_price(spark, sf_dir):
     return normalize(R.latest_row(_consolidated(spark, sf_dir), FOCUS_ASSET))
 
 
-_KPI_SQL = _BASE + f""",
+_KPI = f""",
  k AS (
   SELECT count(*) AS total_rows, count(DISTINCT coin_id) AS total_coins,
          max(reference_date) AS latest_date,
@@ -504,13 +699,15 @@ _KPI_SQL = _BASE + f""",
               ELSE corr(CAST(price_brl AS DOUBLE), CAST(dolar_brl AS DOUBLE))
                    FILTER (WHERE coin_id = '{FOCUS_ASSET}') END AS corr_price_fx
   FROM consolidated)"""
-
-
-@register("kpi_panel", _KPI_SQL + """
+_KPI_SQL = _BASE + _KPI
+_KPI_ROW = """
  SELECT total_rows, total_coins, strftime(latest_date, '%Y-%m-%d') AS latest_date,
         ROUND(CAST(avg_price_brl AS DOUBLE), 6) AS avg_price_brl,
         CAST(latest_price_brl AS DOUBLE) AS latest_price_brl,
-        ROUND(corr_price_fx, 6) AS corr_price_fx FROM k""")
+        ROUND(corr_price_fx, 6) AS corr_price_fx FROM k"""
+
+
+@register("kpi_panel", _KPI_SQL + _KPI_ROW)
 def q_kpi_panel(spark, sf_dir):
     """C11: A2 count, A3 distinct, A4 max, A5 filtered mean, O4 latest,
     A6 correlation -- one aggregate over one scan."""
@@ -541,19 +738,36 @@ def _safe_corr_sql(x, y):
             f"ELSE ROUND(corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)), 6) END")
 
 
-@register("corr_matrix", _BASE + f"""
+_CORR_ROWS = f"""
  SELECT coin_id,
         {_safe_corr_sql("price_brl", "dolar_brl")} AS corr_dolar_brl,
         {_safe_corr_sql("price_brl", "selic_annual_rate")} AS corr_selic_annual_rate,
         {_safe_corr_sql("price_brl", "ipca_monthly")} AS corr_ipca_monthly
- FROM consolidated GROUP BY coin_id""")
+ FROM consolidated GROUP BY coin_id"""
+
+
+@register("state_kpi", _MERGED + _KPI + _KPI_ROW)
+def q_state_kpi(spark, sf_dir):
+    """C11, A2-A6, O4 from the monthly states."""
+    panel = normalize(ST.kpi_panel(_states(spark, sf_dir), FOCUS_ASSET))
+    return _round(panel, 6, {"avg_price_brl", "corr_price_fx"})
+
+
+@register("state_corr", _MERGED + _CORR_ROWS)
+def q_state_corr(spark, sf_dir):
+    """A6/D1 from the monthly states."""
+    return _round(ST.corr_matrix(_states(spark, sf_dir)), 6,
+                  {"corr_dolar_brl", "corr_selic_annual_rate", "corr_ipca_monthly"})
+
+
+@register("corr_matrix", _BASE + _CORR_ROWS)
 def q_corr_matrix(spark, sf_dir):
     """Per-asset correlation of the BRL price with each macro column."""
     out = R.corr_matrix(_consolidated(spark, sf_dir))
     return _round(out, 6, {"corr_dolar_brl", "corr_selic_annual_rate", "corr_ipca_monthly"})
 
 
-@register("period_return", _BASE + """,
+_PERIOD_ROWS = """,
  p AS (SELECT coin_id, arg_min(price_usd, reference_date) AS f,
               arg_max(price_usd, reference_date) AS l,
               avg(CAST(selic_annual_rate AS DOUBLE)) AS s
@@ -561,7 +775,17 @@ def q_corr_matrix(spark, sf_dir):
  SELECT coin_id, CAST(f AS DOUBLE) AS first_price_usd, CAST(l AS DOUBLE) AS last_price_usd,
         ROUND(s, 6) AS avg_selic_annual_rate,
         CAST(ROUND((l / f - 1) * 100, 4) AS DOUBLE) AS period_return_pct
- FROM p""")
+ FROM p"""
+
+
+@register("state_period_return", _MERGED + _PERIOD_ROWS)
+def q_state_period_return(spark, sf_dir):
+    """D2 from the monthly states."""
+    out = normalize(ST.period_return(_states(spark, sf_dir)))
+    return _round(out, 6, {"avg_selic_annual_rate"})
+
+
+@register("period_return", _BASE + _PERIOD_ROWS)
 def q_period_return(spark, sf_dir):
     """Period return per asset and mean annual policy rate."""
     out = normalize(R.period_return(_consolidated(spark, sf_dir)))

@@ -107,14 +107,16 @@ def macro_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.unionByName(m.where(ind == "ipca"))
 
 
-def macro_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return macro(spark, sf_dir).where(F.col("reference_date") < F.lit(TARGET_BEFORE).cast("date"))
+def macro_target(spark: SparkSession, sf_dir: str, m: DataFrame | None = None) -> DataFrame:
+    m = macro(spark, sf_dir) if m is None else m
+    return m.where(F.col("reference_date") < F.lit(TARGET_BEFORE).cast("date"))
 
 
-def macro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def macro_batch(spark: SparkSession, sf_dir: str, m: DataFrame | None = None) -> DataFrame:
     """Macro rows from 1999 on, valor + 0.01 (``batch_seq`` 1), and a later
     correction of every 15th day, valor + 0.02 (``batch_seq`` 2)."""
-    m = macro(spark, sf_dir).where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
+    m = macro(spark, sf_dir) if m is None else m
+    m = m.where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
     first = m.select("indicator", "reference_date",
                      (F.col("valor") + F.lit(0.01).cast("decimal(3,2)")).cast("decimal(15,8)")
                      .alias("valor"), F.lit(1).alias("batch_seq"))
@@ -130,14 +132,16 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_type").alias("series"), "ts", "event_id", "user_id", "value")
 
 
-def target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market(spark, sf_dir).where(F.col("reference_date") < F.lit(TARGET_BEFORE).cast("date"))
+def target(spark: SparkSession, sf_dir: str, m: DataFrame | None = None) -> DataFrame:
+    m = market(spark, sf_dir) if m is None else m
+    return m.where(F.col("reference_date") < F.lit(TARGET_BEFORE).cast("date"))
 
 
-def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch(spark: SparkSession, sf_dir: str, m: DataFrame | None = None) -> DataFrame:
     """Market rows from 1999 on re-priced x 1.01 (``batch_seq`` 1) and a
     later correction of every 15th day, x 1.02 (``batch_seq`` 2)."""
-    m = market(spark, sf_dir).where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
+    m = market(spark, sf_dir) if m is None else m
+    m = m.where(F.col("reference_date") >= F.lit(BATCH_FROM).cast("date"))
 
     def priced(factor: str, seq: int, rows: DataFrame) -> DataFrame:
         return rows.withColumn("price_usd", F.round(
