@@ -6,6 +6,7 @@ import sys
 import uuid
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,21 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_id(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``name``, an id of every row that each scan gives again:
+    the row's place in its Parquet file.  (Running numbers of a scan follow how
+    files are packed into splits, so they change with the cores alive.)  What
+    is no plain scan of Parquet files is stored once with running numbers, and
+    the stored table returned.  Ids order the rows of a file as they lie."""
+    at = "_metadata.file_path", "_metadata.row_index"
+    try:
+        return docs.withColumn(name, F.struct(F.xxhash64(at[0]).alias("file"),
+                                              F.col(at[1]).alias("row")))
+    except AnalysisException:
+        return materialise(docs.withColumn(name, F.struct(
+            F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names starting with ``names`` that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import col, fresh, materialise, maybe_broadcast
+from cadence.llm.common import col, fresh, materialise, maybe_broadcast, with_row_id
 
 WINDOW = 5
 COVERAGE = 0.5
@@ -40,7 +40,7 @@ COMMON = ("A|About|After|All|Also|Although|An|And|Another|Any|Are|As|At|Based|Be
           "So|Some|Such|Suppose|Than|That|The|Their|Then|There|These|They|This|Those|Three|Through|"
           "Thus|To|Today|Together|Two|Under|Until|Was|We|Were|What|When|Where|Which|While|Who|Whose|"
           "Why|Will|With|Without|Would|Yes|You|Your")
-_CAPITAL = rf"(?!(?:{COMMON})(?![\p{{L}}\p{{N}}'’-]))\p{{Lu}}[\p{{Ll}}'’-]++"
+_CAPITAL = rf"(?=\p{{Lu}})(?!(?:{COMMON})(?![\p{{L}}\p{{N}}'’-]))\p{{Lu}}[\p{{Ll}}'’-]++"
 NAME = rf"(?<![^ \"“‘(\[]){_CAPITAL}(?: {_CAPITAL})*+"
 
 
@@ -56,10 +56,10 @@ def _marked(text: Column) -> Column:
     return numbers
 
 
-def _tokens(text: Column) -> Column:
-    """Template tokens with their values: ``word`` or ``type\\u0001value``.
-    A name of several words is glued into one token before splitting."""
-    marked = _marked(text)
+def _tokens(marked: Column) -> Column:
+    """Template tokens of a marked text with their values: ``word`` or
+    ``type\\u0001value``.  A name of several words is glued into one token
+    before splitting."""
     glued = F.when(F.contains(marked, F.lit("\u0002")), F.array_join(F.transform(
         F.split(marked, "\u0002"),
         lambda part: F.when(F.contains(part, F.lit("name\u0001")), F.concat(
@@ -74,7 +74,9 @@ def windows(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """``keys, at, window, head, tail``: the template windows of each row and
     the value hashes of their first and last token (0: not a slot).  A text
     of fewer tokens is one window; none has no window."""
-    tokens = rows.select(*keys, _tokens(col(text)).alias("t"))
+    # columns of their own: what lambdas name would be computed for each mention
+    tokens = rows.select(*keys, _marked(col(text)).alias("marked")).select(
+        *keys, _tokens(F.col("marked")).alias("t"))
     parts = tokens.select(
         *keys,
         F.transform("t", lambda t: F.xxhash64(F.substring_index(t, "\u0001", 1))).alias("h"),
@@ -158,7 +160,7 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     row stays, repeated rows too."""
     rid, c_flag, c_n, c_items, c_cov = fresh(docs, "rid", "contaminated", "n_items", "items",
                                              "coverage")
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    numbered = with_row_id(docs, rid)
     found = contamination(numbered.select(col(rid), col(text)), benchmark, text, rid, item)
     per_doc = found.groupBy(F.col("rid").alias(rid)).agg(
         F.array_sort(F.collect_set(F.coalesce(F.col("item"), F.lit(-1)))).alias(c_items),
@@ -175,7 +177,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
                         item: str = "item_id") -> DataFrame:
     """The rows of ``docs`` (a stored table) that hold no benchmark item."""
     rid, = fresh(docs, "rid")
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    numbered = with_row_id(docs, rid)
     found = contamination(numbered.select(col(rid), col(text)), benchmark, text, rid, item)
     return numbered.join(found.select(F.col("rid").alias(rid)).distinct(), rid, "left_anti").select(
         *(col(c) for c in docs.columns))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import ascii_lower, col, materialise
+from cadence.llm.common import ascii_lower, col, fresh, materialise, with_row_id
 
 # Phrases of the base scan and their labels.
 BASE_PHRASES = {
@@ -166,8 +166,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     characters.  NULL is an empty text: no words, no labels, score 0.
     Repeated rows stay; an empty table gives an empty result."""
     spark = docs.sparkSession
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), col(key).alias("key"),
-                           F.coalesce(col(text), F.lit("")).alias("text"))
+    rid, = fresh(docs, "rid")
+    numbered = with_row_id(docs, rid).select(col(rid).alias("rid"), col(key).alias("key"),
+                                             F.coalesce(col(text), F.lit("")).alias("text"))
     counted = numbered.select("rid", "key", F.regexp_count(
         "text", F.lit(f"[^{_NOT_WORD}]+")).cast("long").alias("n_words"))
     words = F.filter(F.split(ascii_lower(F.col("text")), f"[{_NOT_WORD}]+"), lambda w: w != "")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import col, materialise, ship
+from cadence.llm.common import col, fresh, materialise, ship, with_row_id
 
 TRAIN_DOCS = 4000       # sampled documents in expectation
 DIMENSIONS = 1 << 14    # hashed features
@@ -155,8 +155,9 @@ def classify(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
         return pd.DataFrame({"votes": ["".join("b-g"[x + 1] for x in v) for v, _, _ in out],
                              "n": [n for _, n, _ in out], "abuse": [a for _, _, a in out]})
 
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), col(key).alias("key"),
-                       col(text).alias("text"))
+    rid, = fresh(docs, "rid")
+    base = with_row_id(docs, rid).select(col(rid).alias("rid"), col(key).alias("key"),
+                                         col(text).alias("text"))
     voted = materialise(base.select("rid", "key",
                                     vote("text").alias("v"))
                         .select("rid", "key", "v.*"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import SPACES, col, fresh, materialise, words
+from cadence.llm.common import SPACES, col, fresh, materialise, with_row_id, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -170,8 +170,9 @@ def _depleted() -> Column:
 def _verdicts(docs: DataFrame, text: str, host: str, row: Column) -> DataFrame:
     """``row``, the counts, ``removed_words``, ``clean``, ``base_failed`` and
     ``kept`` of every row of ``docs``."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row"),
-                           col(text).alias("text"), col(host).alias("host"))
+    rid, = fresh(docs, "rid")
+    numbered = with_row_id(docs, rid).select(col(rid).alias("rid"), row.alias("row"),
+                                             col(text).alias("text"), col(host).alias("host"))
     return _counted(_with_removals(numbered)).select(
         "*", _base_failed().alias("base_failed"),
         (~_base_failed() & ~_depleted()).alias("kept"))

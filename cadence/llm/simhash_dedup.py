@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.llm.common import col, fresh, materialise, ship
+from cadence.llm.common import col, fresh, materialise, ship, with_row_id
 from cadence.llm.components import connected_components
 
 SHINGLE = 3          # words in a shingle
@@ -180,7 +180,7 @@ def keep_one(docs: DataFrame, text: str = "text", order: str = "doc_id") -> Data
     equals; NULLs last).  ``docs`` must be a stored table, since it is read
     twice."""
     rid, = fresh(docs, "rid")
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    numbered = with_row_id(docs, rid)
     # smallest row number of the smallest order value of each component
     rows = numbered.select(F.struct(col(order).isNull().alias("n"), col(order).alias("o"),
                                     col(rid).alias("r")).alias("key"), col(text).alias("text"))
