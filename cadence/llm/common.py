@@ -7,13 +7,14 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.session import checkpoint_dir
 
 # ASCII white space: the separators of the word definition [^\x20\x09-\x0D]+
 SPACES = " \t\n\x0b\x0c\r"
+MAX_FILES = 200_000     # numbers of a table's files are broadcast up to this many
 
 
 def ship(module: str) -> None:
@@ -38,17 +39,24 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
 
 def with_row_id(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with ``name``, an id of every row that each scan gives again:
-    the row's place in its Parquet file.  (Running numbers of a scan follow how
-    files are packed into splits, so they change with the cores alive.)  What
-    is no plain scan of Parquet files is stored once with running numbers, and
-    the stored table returned.  Ids order the rows of a file as they lie."""
-    at = "_metadata.file_path", "_metadata.row_index"
+    the number of its Parquet file, by path, and its place there.  (Running
+    numbers of a scan follow how files are packed into splits, so they change
+    with the cores alive.)  What is no plain scan of Parquet files is stored
+    once with running numbers, and the stored table returned."""
+    path, at = "_metadata.file_path", "_metadata.row_index"
+    file, = fresh(docs, "file_path")
     try:
-        return docs.withColumn(name, F.struct(F.xxhash64(at[0]).alias("file"),
-                                              F.col(at[1]).alias("row")))
+        placed = docs.withColumns({file: F.col(path), name: F.col(at)})
     except AnalysisException:
         return materialise(docs.withColumn(name, F.struct(
             F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))))
+    files = placed.select(file).distinct()
+    files = materialise(files.select(                            # one row per file
+        file, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(file)).cast("long")
+        .alias("_n")))
+    numbered = placed.join(maybe_broadcast(files, files.count(), MAX_FILES), file)
+    return numbered.select(*(col(c) for c in docs.columns),
+                           F.struct(F.col("_n").alias("file"), col(name).alias("row")).alias(name))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -31,13 +31,7 @@ HEAVY_ROWS = 200_000   # heavy lines are broadcast up to this many (under 50 byt
 HOST_ROWS = 2_000      # and up to this many of one host, since each row looks through them
 SYMBOLS = r"[#*$%&|<>]"
 
-_SHORT = 20   # bits of a position in texts of up to 2^20 words
-_LONG = 31
-
-
-def _shift(direction: str, value: Column, bits: Column) -> Column:
-    """A shift by a column of bits."""
-    return F.call_function(direction, value, bits)
+_SHORT = 20   # bits of a position beside a hash prefix
 
 
 def with_repeated_words(df: DataFrame, w: str, out: str) -> DataFrame:
@@ -45,36 +39,51 @@ def with_repeated_words(df: DataFrame, w: str, out: str) -> DataFrame:
     twice in the array column ``w``, the first occurrence included; each word
     counts once.
 
-    Windows are sorted as longs of a hash prefix and a position; neighbours
-    with equal prefixes are confirmed on their full hashes.  Arrays that
-    lambdas index are columns of their own, so they are computed once."""
-    packed, found = fresh(df, "packed", "found")
+    Windows are sorted as longs of a hash prefix and a position, so equal ones
+    are neighbours unless another window has their prefix.  Rows in which two
+    neighbours share a prefix but not the hash, and arrays too long for such
+    positions, are sorted by the full hash instead.  Arrays that lambdas index
+    are columns of their own, so they are computed once."""
+    packed, full, found = fresh(df, "packed", "full", "found")
     n = F.size(col(w))
-    small = n < (1 << _SHORT)
-    bits = F.when(small, F.lit(_SHORT)).otherwise(F.lit(_LONG))
-    mask = F.when(small, F.lit((1 << _SHORT) - 1)).otherwise(F.lit((1 << _LONG) - 1)).cast("long")
+    mask = F.lit((1 << _SHORT) - 1).cast("long")
 
     def window(i: Column) -> Column:
         return F.xxhash64(F.get(col(w), i), F.get(col(w), i + 1), F.get(col(w), i + 2))
 
+    def at(x: Column) -> Column:
+        return window(x.bitwiseAND(mask).cast("int"))
+
+    def near(a: Column, b: Column) -> Column:
+        return F.shiftrightunsigned(a, _SHORT) == F.shiftrightunsigned(b, _SHORT)
+
     def twin(a: Column, b: Column) -> Column:
-        return F.coalesce((_shift("shiftrightunsigned", a, bits)
-                           == _shift("shiftrightunsigned", b, bits))
-                          & (window(a.bitwiseAND(mask).cast("int"))
-                             == window(b.bitwiseAND(mask).cast("int"))), F.lit(False))
+        return F.coalesce(near(a, b) & (at(a) == at(b)), F.lit(False))
 
+    places = F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0)))
     windows = F.sort_array(F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-        lambda i: _shift("shiftleft", window(i), bits).bitwiseOR(i.cast("long"))))
-    repeats = F.filter(col(packed), lambda x, k: twin(x, F.get(col(packed), k + 1))
-                       | twin(x, F.get(col(packed), k - 1)))
-    places = F.flatten(F.transform(col(found), lambda x: F.sequence(
-        x.bitwiseAND(mask), x.bitwiseAND(mask) + 2)))
-    return (df.withColumn(packed, F.when(n > 3, windows))
+        places, lambda i: F.shiftleft(window(i), _SHORT).bitwiseOR(i.cast("long"))))
+    mixed = F.filter(col(packed), lambda x, k: F.coalesce(
+        near(x, F.get(col(packed), k + 1)) & (at(x) != at(F.get(col(packed), k + 1))),
+        F.lit(False)))
+    hashed = F.sort_array(F.transform(places, lambda i: F.struct(window(i).alias("h"),
+                                                                 i.cast("long").alias("i"))))
+
+    def same(x: Column, k: Column) -> Column:
+        return F.coalesce(x["h"] == F.get(col(full), k)["h"], F.lit(False))
+
+    repeats = F.when(col(full).isNull(), F.transform(
+        F.filter(col(packed), lambda x, k: twin(x, F.get(col(packed), k + 1))
+                 | twin(x, F.get(col(packed), k - 1))), lambda x: x.bitwiseAND(mask))).otherwise(
+        F.transform(F.filter(col(full), lambda x, k: same(x, k + 1) | same(x, k - 1)),
+                    lambda x: x["i"]))
+    words_in = F.flatten(F.transform(col(found), lambda x: F.sequence(x, x + 2)))
+    return (df.withColumn(packed, F.when((n > 3) & (n < (1 << _SHORT)), windows))
+            .withColumn(full, F.when((n > 3) & (col(packed).isNull() | (F.size(mixed) > 0)), hashed))
             .withColumn(found, F.when(n > 3, repeats))
-            .withColumn(out, F.when(F.size(col(found)) > 0, F.size(F.array_distinct(places)))
+            .withColumn(out, F.when(F.size(col(found)) > 0, F.size(F.array_distinct(words_in)))
                         .otherwise(F.lit(0)).cast("long"))
-            .drop(packed, found))
+            .drop(packed, full, found))
 
 
 def _line(line: Column) -> Column:

@@ -1,5 +1,6 @@
 """Quality rules against a plain Python version."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -99,3 +100,14 @@ def test_shared_passage_on_a_large_host(spark, tmp_dir):
         docs = stored(spark, texts, tmp_dir, f"host{size}").withColumn("source", F.lit("one"))
         found = Q.assess(docs).collect()
         assert sum(r["removed_words"] == 3 for r in found) == 29, size
+
+
+@pytest.mark.parametrize("bits", [58, 61, 62])
+def test_windows_that_share_a_prefix(spark, monkeypatch, bits):
+    """Hash prefixes of two to six bits, so unlike windows are neighbours."""
+    monkeypatch.setattr(Q, "_SHORT", bits)
+    rng = random.Random(bits)
+    texts = [[f"w{rng.randrange(k)}" for _ in range(200)] for k in (3, 8, 20, 60, 5000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, w array<string>")
+    got = {r["i"]: r["n"] for r in Q.with_repeated_words(df, "w", "n").collect()}
+    assert got == {i: repeated(t) for i, t in enumerate(texts)}
