@@ -27,13 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder
     (``spark.checkpoint.dir``) and read it back: lineage is cut by a table
     that outlives any executor."""
     spark = df.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
