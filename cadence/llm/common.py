@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from cadence.session import checkpoint_dir
 
 # ASCII white space: the separators of the word definition [^\x20\x09-\x0D]+
 SPACES = " \t\n\x0b\x0c\r"
+BLOCK = 64              # values of a block of running sums
 MAX_FILES = 200_000     # numbers of a table's files are broadcast up to this many
 
 
@@ -91,3 +93,34 @@ def words(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(values: Column, levels: int = 2) -> Column:
+    """The sum of the values before each one, of an array of ints; appended to
+    blocks only, so that long arrays are not copied per value."""
+    none = F.array().cast("array<int>")
+
+    def short(block: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(F.lit(0).alias("at"), none.alias("sums")),
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"),
+                                    F.concat(acc["sums"], F.array(acc["at"])).alias("sums")),
+            lambda acc: acc["sums"])
+
+    def blocked(array: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(array) - 1, F.lit(BLOCK)),
+                             lambda at: F.slice(array, at + 1, F.lit(BLOCK)))
+        return let(blocks, lambda bs: F.flatten(F.zip_with(
+            bs, running_sums(F.transform(bs, lambda b: F.aggregate(
+                b, F.lit(0), lambda x, y: x + y)), levels - 1),
+            lambda b, start: F.transform(short(b), lambda x: x + start))))
+
+    if not levels:
+        return short(values)
+    return let(values, lambda array: F.when(F.size(array) <= BLOCK, short(array)).otherwise(
+        blocked(array)))
