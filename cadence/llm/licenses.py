@@ -1,12 +1,14 @@
 """License scans with ordered signature rules.
 
 Rules are regular expressions over a canonical text (lower-case words joined
-by one blank), built from ``FAMILIES`` by four forms: identifier line, grant
-with version, name with version, name alone, in falling priority.  Three
-gates keep them off most text: a keyword expression on the whole text, a
-literal that must occur in the canonical text, and the rule itself.  A
-detection inside another of higher priority, or of equal priority and
-greater length, is suppressed; among equals the first rule stands.
+by one blank): sentences of license notices, exceptions and copyright lines
+written by hand (``NOTICES``), and five forms of every name of ``FAMILIES``:
+negation, identifier line, grant with version, name with version, name alone,
+in falling priority.  Three gates keep them off most text: a keyword
+expression on the whole text, a literal that must occur in the canonical text,
+and the rule itself.  A detection inside another of higher priority, or of
+equal priority and greater length, is suppressed; among equals the first rule
+stands.  Negations ("not licensed under ...") suppress and are not reported.
 
 Only gated documents are canonicalised and joined with the rule table, which
 is a constant of a few hundred rows (so broadcasting it is bounded).
@@ -14,10 +16,13 @@ is a constant of a few hundred rows (so broadcasting it is bounded).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import ascii_lower, col, fresh, materialise, with_row_id
+from cadence.llm.common import (ascii_lower, col, fresh, let, materialise, running_sums,
+                                with_row_id)
 
 # Phrases of the base scan and their labels.
 BASE_PHRASES = {
@@ -84,22 +89,69 @@ FAMILIES = [
     ("public-domain", ["released into the public domain", "public domain dedication"], [], ""),
     ("proprietary", ["all rights reserved"], [], ""),
 ]
+# label, literal, pattern, priority: notice sentences.
+NOTICES = [
+    ("mit", "permission is hereby granted free of charge to any person",
+     "permission is hereby granted free of charge to any person obtaining a copy", 85),
+    ("bsl", "permission is hereby granted free of charge to any person or organization",
+     "permission is hereby granted free of charge to any person or organization obtaining a copy",
+     86),
+    ("isc", "this software for any purpose with or without fee is hereby granted",
+     "permission to use copy modify and(?: or)? distribute this software for any purpose with or"
+     " without fee is hereby granted", 85),
+    ("bsd", "redistribution and use in source and binary forms",
+     "redistribution and use in source and binary forms(?: with or without modification)?"
+     "(?: are permitted)?", 85),
+    ("bsd-3-clause", "neither the name of", "neither the name of (?:[^ ]++ ){1,12}?nor the names of"
+     " (?:its|their|the) contributors", 86),
+    ("bsd-4-clause", "all advertising materials mentioning features",
+     "all advertising materials mentioning features or use of this software", 86),
+    ("zlib", "without any express or implied warranty",
+     "this software is provided as is without any express or implied warranty", 85),
+    ("apache", "except in compliance with the license",
+     "you may not use this (?:file|software|work) except in compliance with the license", 85),
+    ("unlicense", "free and unencumbered software released into the public domain",
+     "this is free and unencumbered software released into the public domain", 95),
+    ("mpl", "subject to the terms of the mozilla public license",
+     "this source code form is subject to the terms of the mozilla public license"
+     "(?: v(?:ersion)? [0-9](?: [0-9])?)?", 95),
+    ("gpl", "under the terms of the gnu general public license",
+     "you can redistribute it and or modify it under the terms of the gnu general public license",
+     95),
+    ("lgpl", "under the terms of the gnu lesser general public license",
+     "you can redistribute it and or modify it under the terms of the gnu lesser general public"
+     " license", 95),
+    ("agpl", "under the terms of the gnu affero general public license",
+     "you can redistribute it and or modify it under the terms of the gnu affero general public"
+     " license", 95),
+    ("classpath-exception", "classpath exception", "(?:with )?classpath exception(?: 2 0)?", 88),
+    ("classpath-exception", "as a special exception the copyright holders",
+     "as a special exception the copyright holders of this library give you permission to link", 88),
+    ("gcc-exception", "gcc runtime library exception", "gcc runtime library exception", 88),
+    ("llvm-exception", "llvm exception", "(?:with )?llvm exceptions?", 88),
+    ("copyright", "copyright", "copyright (?:c )?(?:(?:19|20)[0-9]{2})(?: (?:19|20)[0-9]{2})*", 50),
+]
+NOTICE_SCORE = 0.95
 GRANT = (r"(?:licensed|released|distributed|available|provided|published|offered) under"
          r"(?: the)?(?: terms of)?(?: the)?")
-FORMS = (("identifier", 100, 0.99), ("grant", 90, 0.95), ("versioned", 80, 0.9), ("name", 60, 0.7))
+NEGATION = (r"(?:not|never|no longer) (?:licensed|released|distributed|available|provided|published"
+            r"|offered|covered) (?:under|by)(?: the)?(?: terms of)?(?: the)?")
+FORMS = (("negation", 110, 0.0), ("identifier", 100, 0.99), ("grant", 90, 0.95), ("versioned", 80, 0.9), ("name", 60, 0.7))
 BASE_SCORE = 0.7
 
 _NOT_WORD = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: Every text in which a base phrase or a rule can match passes this.
 GATE = (rf"(?i)licen[sc]e|gpl|lgpl|mpl|cddl|eupl|wtfpl|odbl|gfdl|cc0|spdx|rights[{_NOT_WORD}]+reserved"
         rf"|public[{_NOT_WORD}]+domain|clause[{_NOT_WORD}]+bsd|bsd[{_NOT_WORD}]+[23]"
+        rf"|hereby|redistribution|copyright|warranty|advertising|contributors|exception"
         rf"|cc[{_NOT_WORD}]+(?:by|attribution)|creative[{_NOT_WORD}]+commons")
 
 
 def rules() -> list[tuple[int, str, str, str, int, float]]:
     """``(rule, label, literal, pattern, priority, score)``: a canonical text
-    that matches the pattern contains the literal."""
-    out = []
+    that matches the pattern contains the literal.  Negations have no label."""
+    out = [(n, label, literal, f"(?<= ){pattern}(?= )", priority, NOTICE_SCORE)
+           for n, (label, literal, pattern, priority) in enumerate(NOTICES)]
     for label, names, versions, stem in FAMILIES:
         any_version = "|".join(sorted(versions, key=len, reverse=True))
         made: list[tuple[str, str, str]] = []
@@ -108,6 +160,8 @@ def rules() -> list[tuple[int, str, str, str, int, float]]:
                          rf"spdx license identifier {stem}(?: (?:{any_version or '[0-9]+'}))?"
                          r"(?: 0)?(?: only| or later)?"))
         for name in names:
+            made.append(("negation", name, rf"{NEGATION} {name}(?: license)?"
+                         rf"(?:(?: version| v)? (?:{any_version or '[0-9]+'}))?"))
             made.append(("grant", name, rf"{GRANT} {name}(?: license)?"
                          rf"(?:(?: version| v)? (?:{any_version or '[0-9]+'}))?"))
             for version in versions:
@@ -117,7 +171,8 @@ def rules() -> list[tuple[int, str, str, str, int, float]]:
         scores = {form: (priority, score) for form, priority, score in FORMS}
         for form, literal, pattern in made:
             priority, score = scores[form]
-            out.append((len(out), label, literal, f"(?<= ){pattern}(?= )", priority, score))
+            shown = "" if form == "negation" else label
+            out.append((len(out), shown, literal, f"(?<= ){pattern}(?= )", priority, score))
     return out
 
 
@@ -127,19 +182,33 @@ def _blanks(text: Column) -> Column:
 
 def _spans(canon: Column, pattern: Column) -> Column:
     """Word intervals ``array<struct<start,end>>`` of a pattern's matches."""
-    matches = F.regexp_extract_all(canon, pattern, F.lit(0))
-    pieces = F.split(canon, pattern, -1)
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(
-        F.arrays_zip(matches.alias("m"), F.slice(pieces, 1, F.size(matches)).alias("p")),
-        F.struct(F.lit(0).alias("seen"), none.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["seen"] + _blanks(x["p"]) + _blanks(x["m"])).alias("seen"),
-            F.concat(acc["spans"], F.array(F.struct(
-                (acc["seen"] + _blanks(x["p"]) - 1).alias("start"),
-                (acc["seen"] + _blanks(x["p"]) + _blanks(x["m"])).alias("end"))))
-            .alias("spans")),
-        lambda acc: acc["spans"])
+    def placed(matches: Column, pieces: Column) -> Column:
+        before = F.transform(F.slice(pieces, F.lit(1), F.size(matches)), _blanks)
+        inside = F.transform(matches, _blanks)
+        return F.transform(
+            F.arrays_zip(running_sums(F.zip_with(before, inside, lambda p, m: p + m)).alias("at"),
+                         before.alias("p"), inside.alias("m")),
+            lambda x: F.struct((x["at"] + x["p"] - 1).alias("start"),
+                               (x["at"] + x["p"] + x["m"]).alias("end")))
+
+    return let(F.regexp_extract_all(canon, pattern, F.lit(0)), lambda matches: let(
+        F.split(canon, pattern, -1), lambda pieces: placed(matches, pieces)))
+
+
+def _standing(hits: DataFrame) -> DataFrame:
+    """``hits`` that no other of their document suppresses: whatever contains
+    one and wins over it comes before it by start, falling end, falling
+    priority and rule, so the largest end so far of every priority decides."""
+    earlier = (Window.partitionBy("rid").orderBy("start", F.desc("end"), F.desc("priority"), "rule")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    priorities = sorted({r[4] for r in rules()})
+    reach = {p: F.max(F.when(F.col("priority") == p, F.col("end"))).over(earlier)
+             for p in priorities}
+    marked = hits.withColumns({f"reach{p}": c for p, c in reach.items()})
+    beaten = reduce(lambda x, y: x | y, (
+        (F.lit(p) >= F.col("priority"))
+        & F.coalesce(F.col(f"reach{p}") >= F.col("end"), F.lit(False)) for p in priorities))
+    return marked.where(~beaten).drop(*(f"reach{p}" for p in priorities))
 
 
 def _places(words: Column, phrase: str) -> Column:
@@ -194,18 +263,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     hits = (near.join(F.broadcast(table), "literal")
             .select("rid", "rule", "label", "priority", "score",
                     F.explode(_spans(F.col("canon"), F.col("pattern"))).alias("s"))
-            .select("rid", F.struct("s.start", "s.end", "rule", "label", "priority", "score")
-                    .alias("d")))
-    found = hits.groupBy("rid").agg(F.collect_list("d").alias("d"))
-
-    def beaten(s: Column, t: Column) -> Column:
-        size, other = s["end"] - s["start"], t["end"] - t["start"]
-        wins = (t["priority"] > s["priority"]) | (t["priority"] == s["priority"]) & (
-            (other > size) | (other == size) & (t["rule"] < s["rule"]))
-        return (t["start"] <= s["start"]) & (t["end"] >= s["end"]) & wins
-
-    found = found.select("rid", F.array_sort(F.filter(
-        "d", lambda s: ~F.exists("d", lambda t: beaten(s, t)))).alias("detections"))
+            .select("rid", "s.start", "s.end", "rule", "label", "priority", "score"))
+    found = _standing(hits).where("label <> ''").groupBy("rid").agg(F.array_sort(F.collect_list(
+        F.struct("start", "end", "rule", "label", "priority", "score"))).alias("detections"))
     none = F.array().cast("array<string>")
     joined = counted.join(base.join(found, "rid", "left"), "rid", "left")
     labels = F.array_sort(F.array_union(
