@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from itertools import combinations
 
+import pytest
 import xxhash
 
 from cadence.llm import line_dedup as L
@@ -147,3 +148,30 @@ def test_recall_of_changed_lines(spark, tmp_dir):
     got = {r["doc_id"]: r["n_removed"] for r in rows}
     assert [got[i] for i in range(len(texts))] == want
     assert 0 < sum(want) < len(want)
+
+
+def crowded_lines():
+    """Lines that all share their longest word pair, and eight similar ones
+    whose other long pairs are edited: that block is the only one of both."""
+    def line(tag, x, y):
+        own = [f"{tag}{k}" for k in range(6)]
+        return " ".join(["commonwordnumberone", "commonwordnumbertwo", own[0], own[1],
+                         f"{x}{'l' * 20}{tag}", own[2], own[3], f"{y}{'l' * 20}{tag}", *own[4:]])
+
+    return ([line(f"f{k}f", "x", "y") for k in range(150)]
+            + [line(f"s{k}s", x, y) for k in range(8) for x, y in ("xy", "vw")])
+
+
+@pytest.mark.parametrize("sample, hot", [(64, 32), (2, 4)])
+def test_links_in_a_large_block(spark, tmp_dir, monkeypatch, sample, hot):
+    monkeypatch.setattr(L, "SAMPLE", sample)
+    monkeypatch.setattr(L, "HOT", hot)
+    monkeypatch.setattr(L, "CHUNK", 16, raising=False)
+    texts = crowded_lines()
+    docs = stored(spark, texts, tmp_dir)
+    path = f"{tmp_dir}/one"
+    docs.orderBy("doc_id").coalesce(1).write.parquet(path)
+    docs = spark.read.schema(docs.schema).parquet(path)
+    rows = {r["doc_id"]: r["text"] for r in L.dedup_lines(docs).collect()}
+    assert [rows[i] for i in range(len(texts))] == brute(texts)
+    assert sum(t == "" for t in rows.values()) == 8
