@@ -8,6 +8,7 @@ from itertools import combinations
 import pytest
 import xxhash
 
+import corpus_pipeline
 from cadence.llm import line_dedup as L
 from cadence.llm.queries import QUERIES
 from tests.llm.fixtures import SF, corpus, frame, stored
@@ -175,3 +176,10 @@ def test_links_in_a_large_block(spark, tmp_dir, monkeypatch, sample, hot):
     rows = {r["doc_id"]: r["text"] for r in L.dedup_lines(docs).collect()}
     assert [rows[i] for i in range(len(texts))] == brute(texts)
     assert sum(t == "" for t in rows.values()) == 8
+
+
+def test_line_stage_of_the_pipeline(spark, tmp_dir):
+    """The pipeline's stage loses no link of a large block either."""
+    docs = stored(spark, crowded_lines(), tmp_dir)
+    left = corpus_pipeline.line_stage(spark, docs, SF).where("text <> ''").count()
+    assert left == len(crowded_lines()) - 8
