@@ -7,10 +7,12 @@ from itertools import combinations
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cadence.llm import line_dedup as L
 from cadence.llm.queries import QUERIES
+from cadence.session import checkpoint_dir
 from tests.llm.fixtures import SF, corpus, frame, stored
 
 
@@ -183,3 +185,98 @@ def test_line_stage_of_the_pipeline(spark, tmp_dir):
     docs = stored(spark, crowded_lines(), tmp_dir)
     left = corpus_pipeline.line_stage(spark, docs, SF).where("text <> ''").count()
     assert left == len(crowded_lines()) - 8
+
+
+def long_crowded_lines(of=120):
+    """Different long lines that share a piece, and so a block, and ten of
+    its rarest words; every 20th has a copy with ten words edited."""
+    shared = [f"sharedlongword{k}{'x' * 20}" for k in range(10)]
+    lines = []
+    for k in range(of):
+        own = [f"w{k}n{i}" for i in range(110)]
+        lines.append(" ".join(shared + own))
+        if k % 20 == 0:
+            lines.append(" ".join(shared + [f"e{w}" if i % 11 == 5 else w
+                                            for i, w in enumerate(own)]))
+    return lines
+
+
+def test_few_candidates_of_long_lines(spark, tmp_dir, monkeypatch):
+    """Long lines whose 48 bits are full are told apart before their texts are
+    fetched; their links stay."""
+    made, real = [], L._verified
+
+    def counted(pairs, classes):
+        made.append(pairs.count())
+        return real(pairs, classes)
+
+    monkeypatch.setattr(L, "_verified", counted)
+    monkeypatch.setattr(L, "PAIR_LIMIT", 8)
+    texts = long_crowded_lines()
+    left = L.dedup_lines(stored(spark, texts, tmp_dir)).where("text <> ''").count()
+    assert left == 120
+    assert made[-1] <= len(texts)
+
+
+def test_wide_parity_keeps_similar_lines(spark):
+    rng = random.Random(5)
+    pairs = []
+    for n in (25, 40, 99, 300):
+        for kind in range(6):
+            a = [f"w{rng.randrange(400)}" for _ in range(n)]
+            b = list(a)
+            for _ in range(n // 5):
+                at = rng.randrange(len(b))
+                b[at:at + 1] = ([f"v{rng.randrange(10**6)}"], [], [b[at], "in"])[kind % 3]
+            pairs.append((a, b))
+    classes = spark.createDataFrame(
+        [(2 * i + j, " ".join(w)) for i, p in enumerate(pairs) for j, w in enumerate(p)],
+        "h long, norm string")
+    words = F.split("norm", " ")
+    shape = F.shiftleft(F.size(words).cast("long"), L._SIGNS).bitwiseOR(
+        L._parity(F.transform(words, lambda w: F.xxhash64(w))))
+    rows = L._with_wide(classes.withColumn("shape", shape), classes)
+
+    def side(x, parity):
+        return rows.where(F.col("h") % 2 == parity).select(
+            F.floor(F.col("h") / 2).alias("i"), F.col("shape").alias(f"s{x}"),
+            *(F.col(f"p{k}").alias(f"p{k}{x}") for k in range(L.WIDE)))
+
+    both = side("a", 0).crossJoin(side("b", 1).withColumnRenamed("i", "j"))
+    found = both.where(L._maybe_similar("sa", "sb") & L._maybe_similar_wide("a", "b"))
+    near = [i for i, (a, b) in enumerate(pairs)
+            if edits(a, b) <= int(max(len(a), len(b)) * (1 - L.SIMILARITY) + 1e-9)]
+    got = {(r["i"], r["j"]) for r in found.select("i", "j").collect()}
+    assert len(near) > 12 and {(i, i) for i in near} <= got
+    assert all(i == j for i, j in got if len(pairs[i][0]) < 300)
+
+
+@pytest.mark.parametrize("limit", [2, 10**9])
+def test_groups_do_not_depend_on_the_limit(spark, tmp_dir, monkeypatch, limit):
+    """The limit chooses the way only: two classes or all compared at once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(
+        frame(spark, crowded_lines() + long_crowded_lines()).select(
+            (F.col("doc_id") + 10**6).alias("doc_id"), "text"))
+    docs.orderBy("doc_id").coalesce(1).write.parquet(f"{tmp_dir}/one")
+    docs = spark.read.parquet(f"{tmp_dir}/one")
+    want = {tuple(r) for r in L.dedup_lines(docs).collect()}
+    monkeypatch.setattr(L, "PAIR_LIMIT", limit)
+    assert {tuple(r) for r in L.dedup_lines(docs).collect()} == want
+
+
+def test_work_tables_are_removed(spark, tmp_dir):
+    """Only the places of the removed lines stay, which the result reads."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder = fs.Path(checkpoint_dir(spark))
+
+    def tables():
+        return {f.getPath().getName() for f in folder.getFileSystem(
+            spark._jsc.hadoopConfiguration()).listStatus(folder)}
+
+    docs = stored(spark, crowded_lines(), tmp_dir)
+    numbered = L.with_row_id(docs, "rid")       # stores its file numbers
+    numbered.count()
+    before = tables()
+    left = L.dedup_lines(docs)
+    assert len(tables() - before) <= 2
+    assert left.where("text <> ''").count() == len(crowded_lines()) - 8
