@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -280,3 +281,22 @@ def test_work_tables_are_removed(spark, tmp_dir):
     left = L.dedup_lines(docs)
     assert len(tables() - before) <= 2
     assert left.where("text <> ''").count() == len(crowded_lines()) - 8
+
+
+def test_shuffle_files_are_removed(spark):
+    """A work table leaves no shuffle files behind once it is written."""
+    disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())
+                if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    made = L.materialise(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert made.count() == 97
