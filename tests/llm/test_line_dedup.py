@@ -311,3 +311,42 @@ def test_pairs_told_apart_before_their_texts(spark):
     found = {tuple(r) for r in L._wide_alike(pairs, classes).collect()}
     # short lines have no wide parity: their pairs stay
     assert found == {(0, 4), (5, 6), (0, 5)}
+
+
+def test_pieces_of_edited_lines(spark):
+    """Lines at the edge of the edit similarity share a piece, and long ones
+    have fewer pieces (before: 86 % of the pairs of 40 words, 17 pieces a line of 100)."""
+    rng = random.Random(6)
+    vocabulary = [f"{'abcdefgh'[k % 8] * (1 + k % 9)}{k}" for k in range(5000)]
+    lines = []
+    for n in (40, 100):
+        for _ in range(200):
+            a = [rng.choice(vocabulary) for _ in range(n)]
+            b = list(a)
+            for k in range(n // 5):
+                at = rng.randrange(len(b))
+                b[at:at + 1] = ([rng.choice(vocabulary)], [], [b[at], rng.choice(vocabulary)])[k % 3]
+            lines += [a, b]
+    classes = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(lines)], "h long, norm string")
+    keys = {i: set() for i in range(len(lines))}
+    for r in L._blocks(classes).collect():
+        keys[r["h"]].add(r["key"])
+    shared = [bool(keys[i] & keys[i + 1]) for i in range(0, len(lines), 2)]
+    assert sum(shared[:200]) >= 186 and sum(shared[200:]) >= 198
+    assert sum(len(keys[i]) for i in range(400, 800)) <= 15 * 400
+
+
+def test_leaders_differ(spark):
+    """Blocks of one group are not all led by one class."""
+    rows = spark.range(1, 101).selectExpr("explode(sequence(0L, 15L)) key", "xxhash64(id) h", "id shape")
+    got = L._with_lowest(rows, ["key"]).select("key", "low", "low_shape", "n").distinct().collect()
+    assert len(got) == 16 and {r["n"] for r in got} == {100}
+    assert len({r["low"] for r in got}) == L.LEADERS
+
+
+def test_parity_counts_added_words(spark):
+    """A word that is only added flips one bit: five words longer, four others replaced."""
+    pairs = spark.createDataFrame([(45 << L._SIGNS, (50 << L._SIGNS) | ((1 << bits) - 1))
+                                   for bits in (15, 16, 20)], "a long, b long")
+    assert [r[0] for r in pairs.select(L._maybe_similar("a", "b")).collect()] == [True, False, False]
