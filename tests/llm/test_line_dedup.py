@@ -350,3 +350,10 @@ def test_parity_counts_added_words(spark):
     pairs = spark.createDataFrame([(45 << L._SIGNS, (50 << L._SIGNS) | ((1 << bits) - 1))
                                    for bits in (15, 16, 20)], "a long, b long")
     assert [r[0] for r in pairs.select(L._maybe_similar("a", "b")).collect()] == [True, False, False]
+
+
+def test_normalised_lines(spark):
+    """A lone blank before a letter is left as it is; all else is as by words."""
+    lines = ["a b", " a  b ", "A, b\tc", "é à ñ", "x _ y", "1 2a  3", "  z", "a - b -c - ", ", a", "ß É"]
+    rows = spark.createDataFrame([(t,) for t in lines], "t string").select(L._norm(F.col("t"))).collect()
+    assert [r[0] for r in rows] == [" ".join(norm(t)) for t in lines]
