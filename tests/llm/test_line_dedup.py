@@ -315,7 +315,7 @@ def test_pairs_told_apart_before_their_texts(spark):
 
 def test_pieces_of_edited_lines(spark):
     """Lines at the edge of the edit similarity share a piece, and long ones
-    have fewer pieces (before: 86 % of the pairs of 40 words, 17 pieces a line of 100)."""
+    do not have more pieces for it."""
     rng = random.Random(6)
     vocabulary = [f"{'abcdefgh'[k % 8] * (1 + k % 9)}{k}" for k in range(5000)]
     lines = []
